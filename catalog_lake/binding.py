@@ -223,6 +223,51 @@ class Catalog:
         return self.table("customer").select(
             F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"))
 
+    @cached_property
+    def catalog_urls(self) -> DataFrame:
+        """Catalogue urls of every kind rendered from the bound tables, plus raw page urls.
+
+        Model-series urls of every fifth series carry stray whitespace (D1);
+        category urls alternate between in-scope and out-of-scope type ids.
+        """
+        scope = "/lang-id-6/country-filter-id-145"
+        s = lambda c: F.col(c).cast("string")
+        mf = self.manufacturers.select(
+            F.lit("manufacturer").alias("expected_kind"),
+            F.concat(F.lit(BASE_URL + "/models/manufacturer-id-"), s("manufacturer_id"),
+                     F.lit(scope + "/type-id-1")).alias("url"))
+        ms = self.model_series.select(
+            F.lit("model_series").alias("expected_kind"),
+            F.concat(F.lit(BASE_URL + "/passenger-car-types/"),
+                     F.when(F.col("model_series_id") % 5 == 0, F.lit(" \t")).otherwise(F.lit("")),
+                     s("model_series_id"), F.lit("/manufacturer-id-"), s("manufacturer_id"),
+                     F.lit(scope + "/type-id-1")).alias("url"))
+        ctd = self.car_types.select(
+            F.lit("car_type_details").alias("expected_kind"),
+            F.concat(F.lit(BASE_URL + "/passenger-car-type-details/"), s("car_type_id"),
+                     F.lit("/manufacturer-id-0" + scope)).alias("url"))
+        cat = self.car_types.select(
+            F.lit("category_page").alias("expected_kind"),
+            F.when(F.col("category_url") == "", F.lit("")).otherwise(
+                F.concat(F.col("category_url"), F.lit(scope[1:] + "/type-id-"),
+                         (F.col("car_type_id") % 2 + 1).cast("string"))).alias("url"))
+        pairs = (self.compatible_cars.select("article_id", "car_type_id")
+                 .join(self.articles.select("article_id", "group_id", "is_oem"), "article_id")
+                 .select("car_type_id", "group_id", "is_oem").distinct())
+        lst = pairs.select(
+            F.when(F.col("is_oem"), F.lit("list_oem_articles")).otherwise(F.lit("list_articles"))
+            .alias("expected_kind"),
+            F.concat(F.lit(BASE_URL), F.when(F.col("is_oem"), F.lit("/list-oem-articles/"))
+                     .otherwise(F.lit("/list-articles/")), s("car_type_id"), F.lit("/"), s("group_id"),
+                     F.lit("/manufacturer-id-0" + scope + "/type-id-1")).alias("url"))
+        art = self.articles.select(F.lit("article_details").alias("expected_kind"),
+                                   F.col("details_url").alias("url"))
+        other = self.table("pages").select(F.lit("other").alias("expected_kind"), "url")
+        out = mf
+        for df in (ms, ctd, cat, lst, art, other):
+            out = out.unionByName(df)
+        return out
+
     def all_tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in (
             "manufacturers", "model_series", "car_types", "car_type_details", "groups",
@@ -309,6 +354,35 @@ ORACLE_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
           strftime(ts, '%Y-%m-%d') AS crawl_date, event_id AS row_pos, event_type, value
         FROM events""", ()),
     "links": ("SELECT concat('u', CAST(c_custkey AS VARCHAR)) AS url FROM customer", ()),
+    "catalog_urls": ("""
+        SELECT 'manufacturer' AS expected_kind,
+               concat('https://catalog.example/models/manufacturer-id-', CAST(manufacturer_id AS VARCHAR),
+                      '/lang-id-6/country-filter-id-145/type-id-1') AS url FROM manufacturers
+        UNION ALL
+        SELECT 'model_series', concat('https://catalog.example/passenger-car-types/',
+               CASE WHEN model_series_id % 5 = 0 THEN ' ' || chr(9) ELSE '' END,
+               CAST(model_series_id AS VARCHAR), '/manufacturer-id-', CAST(manufacturer_id AS VARCHAR),
+               '/lang-id-6/country-filter-id-145/type-id-1') FROM model_series
+        UNION ALL
+        SELECT 'car_type_details', concat('https://catalog.example/passenger-car-type-details/',
+               CAST(car_type_id AS VARCHAR), '/manufacturer-id-0/lang-id-6/country-filter-id-145')
+        FROM car_types
+        UNION ALL
+        SELECT 'category_page', CASE WHEN category_url = '' THEN '' ELSE
+               concat(category_url, 'lang-id-6/country-filter-id-145/type-id-',
+                      CAST(car_type_id % 2 + 1 AS VARCHAR)) END FROM car_types
+        UNION ALL
+        SELECT CASE WHEN is_oem THEN 'list_oem_articles' ELSE 'list_articles' END,
+               concat('https://catalog.example', CASE WHEN is_oem THEN '/list-oem-articles/'
+                      ELSE '/list-articles/' END, CAST(car_type_id AS VARCHAR), '/',
+                      CAST(group_id AS VARCHAR), '/manufacturer-id-0/lang-id-6/country-filter-id-145/type-id-1')
+        FROM (SELECT DISTINCT c.car_type_id, a.group_id, a.is_oem
+              FROM compatible_cars c JOIN articles a USING (article_id)) p
+        UNION ALL
+        SELECT 'article_details', details_url FROM articles
+        UNION ALL
+        SELECT 'other', url FROM pages""",
+                     ("manufacturers", "model_series", "car_types", "compatible_cars", "articles")),
 }
 
 
