@@ -383,6 +383,53 @@ ORACLE_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         UNION ALL
         SELECT 'other', url FROM pages""",
                      ("manufacturers", "model_series", "car_types", "compatible_cars", "articles")),
+    "crawled_ct": ("""SELECT ct.*, coalesce(ct.year_to, d.year_to) AS effective_year_to
+        FROM car_types ct LEFT JOIN car_type_details d USING (car_type_id)
+        WHERE (coalesce(ct.year_to, d.year_to) IS NULL OR coalesce(ct.year_to, d.year_to) >= 2006)
+          AND coalesce(ct.category_url, '') <> ''""", ("car_types", "car_type_details")),
+    "crawled_ms": ("""SELECT model_series_id,
+          CASE WHEN model_series_id % 10 = 0 THEN NULL ELSE manufacturer_id END AS manufacturer_id,
+          display_name, model_native_name, from_date, to_date
+        FROM model_series WHERE model_series_id IN (SELECT model_series_id FROM crawled_ct)""",
+                   ("model_series", "crawled_ct")),
+    "crawled_mf": ("""SELECT manufacturer_id,
+          CASE WHEN manufacturer_id % 4 = 0 THEN replace(manufacturer_name, '_', ' ')
+               ELSE manufacturer_name END AS manufacturer_name
+        FROM manufacturers WHERE manufacturer_id IN (SELECT manufacturer_id FROM crawled_ms)""", ("manufacturers", "crawled_ms")),
+    "bf_mf": ("""SELECT manufacturer_id, manufacturer_name FROM crawled_mf
+        UNION ALL
+        SELECT CAST((SELECT coalesce(max(manufacturer_id), 0) FROM crawled_mf)
+                    + row_number() OVER (ORDER BY manufacturer_name) AS INTEGER), manufacturer_name
+        FROM (SELECT DISTINCT manufacturer_name FROM compatible_cars
+              WHERE manufacturer_name IS NOT NULL AND manufacturer_name <> ''
+                AND manufacturer_name NOT IN (SELECT manufacturer_name FROM crawled_mf)) x""",
+              ("crawled_mf", "compatible_cars")),
+    "bf_series": ("""SELECT DISTINCT model_series_id, manufacturer_name, model_name FROM compatible_cars
+        WHERE model_series_id IS NOT NULL""", ("compatible_cars",)),
+    "bf_ms": ("""WITH cand AS (
+          SELECT s.model_series_id, m.manufacturer_id, s.model_name,
+                 row_number() OVER (PARTITION BY s.model_series_id
+                                    ORDER BY m.manufacturer_id ASC NULLS LAST, s.model_name) AS rn
+          FROM bf_series s LEFT JOIN bf_mf m USING (manufacturer_name)
+          WHERE s.model_series_id NOT IN (SELECT model_series_id FROM crawled_ms)),
+        ms2 AS (SELECT model_series_id, manufacturer_id, display_name FROM crawled_ms
+                UNION ALL SELECT model_series_id, manufacturer_id, model_name FROM cand WHERE rn = 1),
+        sub AS (SELECT model_series_id, manufacturer_id FROM (
+                  SELECT s.model_series_id, m.manufacturer_id,
+                         row_number() OVER (PARTITION BY s.model_series_id ORDER BY m.manufacturer_id) AS rn
+                  FROM bf_series s JOIN bf_mf m USING (manufacturer_name)) x WHERE rn = 1)
+        SELECT ms2.model_series_id, coalesce(ms2.manufacturer_id, sub.manufacturer_id) AS manufacturer_id,
+               ms2.display_name
+        FROM ms2 LEFT JOIN sub USING (model_series_id)""", ("bf_series", "bf_mf", "crawled_ms")),
+    "bf_ct": ("""SELECT car_type_id, model_series_id, type_label FROM crawled_ct
+        UNION ALL
+        SELECT car_type_id, model_series_id, NULL FROM (
+          SELECT car_type_id, model_series_id,
+                 row_number() OVER (PARTITION BY car_type_id ORDER BY model_series_id ASC NULLS LAST) AS rn
+          FROM (SELECT DISTINCT car_type_id, model_series_id FROM compatible_cars
+                WHERE car_type_id IS NOT NULL) t
+          WHERE car_type_id NOT IN (SELECT car_type_id FROM crawled_ct)) x WHERE rn = 1""",
+              ("crawled_ct", "compatible_cars")),
 }
 
 
