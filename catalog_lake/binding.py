@@ -430,6 +430,22 @@ ORACLE_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                 WHERE car_type_id IS NOT NULL) t
           WHERE car_type_id NOT IN (SELECT car_type_id FROM crawled_ct)) x WHERE rn = 1""",
               ("crawled_ct", "compatible_cars")),
+    "postings": ("""SELECT token, article_id, field, weight, pos FROM (
+          SELECT a.article_id, 'part_name' AS field, CAST(1.0 AS DOUBLE) AS weight,
+                 unnest(regexp_split_to_array(lower(coalesce(a.part_name, '')), '[^\\p{L}\\p{N}]+')) AS token, unnest(range(0, len(regexp_split_to_array(lower(coalesce(a.part_name, '')), '[^\\p{L}\\p{N}]+')))) AS pos
+          FROM articles a LEFT JOIN article_details d USING (article_id)
+          UNION ALL
+          SELECT a.article_id, 'part_number' AS field, CAST(0.4 AS DOUBLE) AS weight,
+                 unnest(regexp_split_to_array(lower(coalesce(a.part_number, '')), '[^\\p{L}\\p{N}]+')) AS token, unnest(range(0, len(regexp_split_to_array(lower(coalesce(a.part_number, '')), '[^\\p{L}\\p{N}]+')))) AS pos
+          FROM articles a LEFT JOIN article_details d USING (article_id)
+          UNION ALL
+          SELECT a.article_id, 'article_number' AS field, CAST(0.4 AS DOUBLE) AS weight,
+                 unnest(regexp_split_to_array(lower(coalesce(d.article_number, '')), '[^\\p{L}\\p{N}]+')) AS token, unnest(range(0, len(regexp_split_to_array(lower(coalesce(d.article_number, '')), '[^\\p{L}\\p{N}]+')))) AS pos
+          FROM articles a LEFT JOIN article_details d USING (article_id)
+          UNION ALL
+          SELECT a.article_id, 'article_manufacturer' AS field, CAST(0.2 AS DOUBLE) AS weight,
+                 unnest(regexp_split_to_array(lower(coalesce(a.article_manufacturer, '')), '[^\\p{L}\\p{N}]+')) AS token, unnest(range(0, len(regexp_split_to_array(lower(coalesce(a.article_manufacturer, '')), '[^\\p{L}\\p{N}]+')))) AS pos
+          FROM articles a LEFT JOIN article_details d USING (article_id)) x WHERE token <> ''""", ("articles", "article_details")),
 }
 
 

@@ -1 +1,163 @@
-"""Registrations (filled in as operators land)."""
+"""Full-text search S1–S6, keyword search Q7, faceted search Q9, total hits G14."""
+
+from pyspark.sql import functions as F
+
+from catalog_lake.operators import search as sx
+from catalog_lake.queries.registry import register
+
+V = ("articles", "article_details", "postings")
+
+
+def _postings(t):
+    return sx.build_postings(t.articles, t.article_details)
+
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def _phrase_sql(tokens: list[str]) -> str:
+    joins = "".join(
+        f" JOIN postings p{i} ON p{i}.article_id = p0.article_id AND p{i}.field = p0.field"
+        f" AND p{i}.pos = p0.pos + {i} AND p{i}.token = '{_q(tok)}'" for i, tok in enumerate(tokens[1:], start=1))
+    return f"SELECT p0.article_id FROM postings p0{joins} WHERE p0.token = '{_q(tokens[0])}'"
+
+
+def match_sql(q: str, universe: str = "articles") -> str:
+    wq = sx.parse_web_query(q)
+    conds = [f"article_id IN ({' UNION '.join(_phrase_sql(p) for p in g)})" for g in wq.groups]
+    conds += [f"article_id NOT IN ({_phrase_sql(p)})" for p in wq.exclude]
+    return f"SELECT article_id FROM {universe} WHERE {' AND '.join(conds) or 'true'}"
+
+
+def rank_sql(q: str) -> str:
+    toks = ", ".join(f"'{_q(x)}'" for x in sx.parse_web_query(q).positive_tokens)
+    return f"""SELECT article_id, sum(weight * CAST(tf AS DOUBLE) / (tf + 1)) AS relevance FROM (
+        SELECT article_id, token, field, weight, count(*) AS tf FROM postings WHERE token IN ({toks})
+        GROUP BY article_id, token, field, weight) x GROUP BY article_id"""
+
+
+@register("s1_postings", "SELECT token, article_id, field, weight, pos FROM postings", V)
+def s1(t):
+    return _postings(t).select("token", "article_id", "field", "weight", "pos")
+
+
+_MATCHES = {
+    "s2_match_words": "red plate",
+    "s2_match_phrase": '"hot plate"',
+    "s2_match_or": "widget or gear",
+    "s2_match_exclude": "plate -red",
+    "s2_match_part_number": "PN-12",
+    "s2_match_brand_or_phrase": 'brand#2 "small ring" or gizmo -blue',
+}
+
+
+def _reg_match(key: str, q: str) -> None:
+    @register(key, match_sql(q), V)
+    def _f(t):
+        return sx.match(_postings(t), q, t.articles)
+
+
+for _k, _v in _MATCHES.items():
+    _reg_match(_k, _v)
+
+
+@register("s3_rank", f"""
+SELECT m.article_id, round(coalesce(r.relevance, 0.0), 6) AS relevance
+FROM ({match_sql("red plate")}) m LEFT JOIN ({rank_sql("red plate")}) r USING (article_id)""", V)
+def s3(t):
+    p = _postings(t)
+    return sx.match(p, "red plate", t.articles).join(sx.rank(p, "red plate"), "article_id", "left") \
+        .select("article_id", F.round(F.coalesce("relevance", F.lit(0.0)), 6).alias("relevance"))
+
+
+_Q7_COLS = "a.article_id, a.part_name, a.part_number, a.article_manufacturer, a.group_name, a.thumbnail_url"
+
+
+@register("q7_keyword_search", f"""
+SELECT {_Q7_COLS}, round(coalesce(r.relevance, 0.0), 6) AS relevance
+FROM articles a JOIN ({match_sql("plate")}) m USING (article_id) LEFT JOIN ({rank_sql("plate")}) r USING (article_id)
+ORDER BY relevance DESC, article_id LIMIT 20""", V)
+def q7(t):
+    return sx.keyword_search(t.articles, _postings(t), "plate", 20) \
+        .select("article_id", "part_name", "part_number", "article_manufacturer", "group_name", "thumbnail_url",
+                "relevance")
+
+
+@register("q7_keyword_search_car_filter", f"""
+SELECT {_Q7_COLS}, round(coalesce(r.relevance, 0.0), 6) AS relevance
+FROM articles a JOIN ({match_sql("plate or ring")}) m USING (article_id)
+     LEFT JOIN ({rank_sql("plate or ring")}) r USING (article_id)
+WHERE a.article_id IN (SELECT DISTINCT article_id FROM compatible_cars
+                       WHERE manufacturer_name ILIKE '%nation_1%' AND model_name ILIKE '%#0000001%')
+ORDER BY relevance DESC, article_id LIMIT 20""", V + ("compatible_cars",))
+def q7c(t):
+    car = sx.car_filter(t.compatible_cars, make="nation_1", model="#0000001")
+    return sx.keyword_search(t.articles, _postings(t), "plate or ring", 20, car) \
+        .select("article_id", "part_name", "part_number", "article_manufacturer", "group_name", "thumbnail_url",
+                "relevance")
+
+
+_Q9_FILTER = """a.is_oem = true AND a.article_id IN (
+    SELECT DISTINCT article_id FROM compatible_cars
+    WHERE manufacturer_name ILIKE '%nation_2%' AND (year_from = '' OR year_from <= '1998')
+      AND (year_to = '' OR year_to >= '1998'))"""
+_Q9_COLS = "a.article_id, a.part_name, a.part_number, a.article_manufacturer, a.group_name, a.is_oem, " \
+           "a.thumbnail_url, a.details_url"
+
+
+@register("q9_s4_f14_faceted_search", f"""
+WITH f AS (SELECT * FROM articles a WHERE {_Q9_FILTER}),
+m AS (SELECT f.* FROM f WHERE f.article_id IN ({match_sql("plate or widget", "f")})),
+total AS (SELECT count(*) AS total FROM m)
+SELECT {_Q9_COLS}, round(coalesce(r.relevance, 0.0), 6) AS relevance, total.total
+FROM m a LEFT JOIN ({rank_sql("plate or widget")}) r USING (article_id), total
+ORDER BY relevance DESC, article_id LIMIT 10 OFFSET 10""", V + ("compatible_cars",))
+def q9(t):
+    rows, total = sx.search(t.articles, _postings(t), t.compatible_cars, q="plate or widget", make="nation_2",
+                            year="1998", is_oem=True, page=2, limit=10)
+    return rows.select("article_id", "part_name", "part_number", "article_manufacturer", "group_name", "is_oem",
+                       "thumbnail_url", "details_url", "relevance").crossJoin(total)
+
+
+@register("q9_t4_search_without_text", f"""
+SELECT {_Q9_COLS}, CAST(NULL AS DOUBLE) AS relevance,
+       (SELECT count(*) FROM articles WHERE NOT is_oem) AS total
+FROM articles a WHERE NOT a.is_oem ORDER BY a.article_id LIMIT 20 OFFSET 40""", V)
+def q9b(t):
+    rows, total = sx.search(t.articles, _postings(t), t.compatible_cars, q="", is_oem=False, page=3, limit=20)
+    return rows.select("article_id", "part_name", "part_number", "article_manufacturer", "group_name", "is_oem",
+                       "thumbnail_url", "details_url", "relevance").crossJoin(total)
+
+
+@register("g14_total_hits", f"""
+SELECT count(*) AS total FROM articles a
+WHERE a.article_id IN ({match_sql("plate")}) AND a.article_id IN (
+  SELECT article_id FROM compatible_cars WHERE model_name ILIKE '%customer#00000%')""", V + ("compatible_cars",))
+def g14(t):
+    _, total = sx.search(t.articles, _postings(t), t.compatible_cars, q="plate", model="customer#00000")
+    return total
+
+
+@register("s5_index_health", """
+SELECT (SELECT count(*) FROM articles) AS articles,
+       (SELECT count(*) FROM articles WHERE article_id IN (SELECT article_id FROM postings))
+         AS articles_with_search_vector""", V)
+def s5(t):
+    return sx.index_health(t.articles, _postings(t))
+
+
+@register("s6_contains_manufacturer", """
+SELECT article_id, part_name, article_manufacturer FROM articles WHERE article_manufacturer ILIKE '%brand#1%'""",
+          ("articles",))
+def s6(t):
+    return sx.contains_search(t.articles, "article_id", "article_manufacturer", "brand#1") \
+        .select("article_id", "part_name", "article_manufacturer")
+
+
+@register("s6_contains_trigram_prefilter", """
+SELECT article_id, part_number FROM articles WHERE part_number ILIKE '%-123%'""", ("articles",))
+def s6t(t):
+    grams = sx.trigram_postings(t.articles, "article_id", "part_number")
+    return sx.contains_search(t.articles, "article_id", "part_number", "-123", grams) \
+        .select("article_id", "part_number")
