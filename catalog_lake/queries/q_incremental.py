@@ -1 +1,53 @@
-"""Registrations (filled in as operators land)."""
+"""Incremental planning and streaming I1, I2, I4, I5, I7."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from catalog_lake.queries.registry import register
+from catalog_lake.session import checkpoint_dir
+from catalog_lake.streaming import incremental as inc
+
+_SEEN = """(SELECT url FROM (SELECT url, arg_max(status_code, (timestamp, event_id)) AS s
+                             FROM fetch_log GROUP BY url) x WHERE s = 200)"""
+
+
+@register("i1_k6_frontier", f"""
+SELECT DISTINCT regexp_replace(url, '\\s+', '', 'g') AS url FROM links
+WHERE regexp_replace(url, '\\s+', '', 'g') NOT IN {_SEEN}""", ("links", "fetch_log"))
+def i1(t):
+    return inc.plan_frontier(t.links, t.fetch_log)
+
+
+@register("i2_session_plan", f"""
+SELECT DISTINCT url, CAST(regexp_extract(url, '(\\d+)', 1) AS BIGINT) % 4 = 0 AS is_nav FROM links
+WHERE CAST(regexp_extract(url, '(\\d+)', 1) AS BIGINT) % 4 = 0 OR url NOT IN {_SEEN}""", ("links", "fetch_log"))
+def i2(t):
+    nav = F.regexp_extract("url", r"(\d+)", 1).cast("bigint") % 4 == 0
+    return inc.plan_session(t.links, t.fetch_log, nav)
+
+
+@register("i4_i5_a2_stream_ingest_dedup", "SELECT DISTINCT pk FROM rounds", ("rounds",))
+def i4(t):
+    """Round records land as JSON; an availableNow stream converts them to Parquet rounds
+    (I4) and a second stream keeps the first record per key (I5)."""
+    spark = t.spark
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    t.rounds.write.json(f"{base}/landing")
+    schema = "pk BIGINT, round_label STRING, crawl_date STRING, row_pos BIGINT, event_type STRING, value DOUBLE"
+    inc.ingest_stream(spark, f"{base}/landing", f"{base}/rounds", f"{base}/ckpt-ingest", schema, "events",
+                      crawl_date="2024-01-31", max_files=4)
+    stream = spark.readStream.schema(schema + ", entity_type STRING, crawl_date_p STRING") \
+        .parquet(f"{base}/rounds")
+    inc.run_to_table(inc.dedup_stream(stream.select("pk", "round_label", "row_pos"), "pk"),
+                     f"{base}/dedup", f"{base}/ckpt-dedup")
+    return spark.read.parquet(f"{base}/dedup").select("pk")
+
+
+@register("i7_observed_counters", """
+SELECT count(*) AS records, count(*) FILTER (WHERE pk IS NULL) AS missing_key FROM rounds""", ("rounds",))
+def i7(t):
+    df, obs = inc.observe_counters(t.rounds, "round_counters", "pk")
+    df.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    return t.spark.createDataFrame([(int(m["records"]), int(m["missing_key"]))], "records long, missing_key long")

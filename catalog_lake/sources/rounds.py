@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog_lake.functions.text import partition_label, round_number
+from catalog_lake.functions.text import partition_label, round_number, to_int
 from catalog_lake.sources.schemas import ENTITIES, PRIMARY_KEYS, SCHEMAS
 
 MAX_RECORDS_PER_FILE = 1000
@@ -41,8 +41,16 @@ def read_entity(spark: SparkSession, path: str, entity: str | None = None, infer
     r = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
     if infer or entity is None:
         return r.json(path)
-    schema = T.StructType(SCHEMAS[entity].fields + [T.StructField(corrupt_col, T.StringType(), True)])
-    return r.schema(schema).json(path)
+    target = SCHEMAS[entity]
+    ints = (T.IntegerType, T.LongType)
+    # Ids arrive as numbers in some rounds and as quoted text in others: read
+    # integer columns as text, then type them leniently in Catalyst.
+    text_fields = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, ints) else f.dataType, True)
+                   for f in target.fields]
+    raw = r.schema(T.StructType(text_fields + [T.StructField(corrupt_col, T.StringType(), True)])).json(path)
+    cols = [to_int(F.col(f.name)).cast(f.dataType).alias(f.name) if isinstance(f.dataType, ints)
+            else F.col(f.name) for f in target.fields]
+    return raw.select(*cols, corrupt_col)
 
 
 def append_entity(df: DataFrame, root: str, entity: str) -> None:
@@ -104,7 +112,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 # -- A3, A4, U2: reading rounds ---------------------------------------------------------
-def read_rounds(spark: SparkSession, root: str, entity: str, ignore_corrupt: bool = True) -> DataFrame:
+def read_rounds(spark: SparkSession, root: str, entity: str, ignore_corrupt: bool = True,
+                schema: T.StructType | str | None = None) -> DataFrame:
     """Every round of an entity, with provenance for the keep-one order.
 
     Files are found recursively (no partition columns are injected; the
@@ -112,10 +121,13 @@ def read_rounds(spark: SparkSession, root: str, entity: str, ignore_corrupt: boo
     skipped when ``ignore_corrupt``.  Added columns: ``_file`` (path),
     ``_row`` (row index in the file), ``crawl_date`` (text, D29) and
     ``round_no`` (the date or rN label as a sortable number).
+    Without an explicit ``schema`` the footers of all files are merged, so a
+    corrupt file that happens to be listed first cannot hide the schema.
     """
     r = spark.read.option("recursiveFileLookup", "true")
     if ignore_corrupt:
         r = r.option("ignoreCorruptFiles", "true")
+    r = r.schema(schema) if schema is not None else r.option("mergeSchema", "true")
     df = r.parquet(f"{root.rstrip('/')}/entity_type={entity}")
     df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     label = partition_label(F.regexp_extract("_file", r"crawl_date=([^/]+)", 1))
@@ -124,12 +136,25 @@ def read_rounds(spark: SparkSession, root: str, entity: str, ignore_corrupt: boo
 
 
 def skipped_files(spark: SparkSession, root: str, entity: str, rounds: DataFrame) -> DataFrame:
-    """A4: files present on storage that contributed no row (zero-byte, corrupt or empty)."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").load(f"{root.rstrip('/')}/entity_type={entity}")
-               .select(F.col("path").alias("_file"), "length"))
-    seen = rounds.select("_file").distinct()
-    return listing.join(seen, "_file", "left_anti")
+    """A4: files present on storage that contributed no row (zero-byte, corrupt or empty).
+
+    The file listing is metadata the driver already fetches to plan any scan
+    (the data sources themselves hide zero-byte files, so they cannot list
+    them); the comparison against the files rows came from is a join.
+    """
+    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/entity_type={entity}")
+    files = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if name.endswith(".parquet"):
+            files.append((st.getPath().toUri().toString(), int(st.getLen())))
+    # 'file:///x' and 'file:/x' name the same file (empty authority).
+    norm = lambda c: F.regexp_replace(c, r"^([a-zA-Z][a-zA-Z0-9+.-]*):///", "$1:/")
+    listing = spark.createDataFrame(files, "_file string, length long").withColumn("_key", norm(F.col("_file")))
+    seen = rounds.select(norm(F.col("_file")).alias("_key")).distinct()
+    return listing.join(seen, "_key", "left_anti").drop("_key")
 
 
 def dedup_rounds(rounds: DataFrame, pk: str, policy: str = "newest") -> DataFrame:
