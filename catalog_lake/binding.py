@@ -50,8 +50,10 @@ class Catalog:
     """Lazy catalogue views over one directory of driver tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from catalog_lake.session import ship_code
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        ship_code(spark)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

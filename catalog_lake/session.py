@@ -43,6 +43,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -66,3 +67,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{abs(hash(name)) % 10**8}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (pandas UDFs, ``mapInPandas``).
+
+    Executors run their own Python processes; they import the functions
+    pickled by reference from ``catalog_lake``.  The package is zipped once per
+    application and distributed with ``addPyFile`` (what ``--py-files``
+    does).  The zip is a driver-side staging file handed to Spark's file
+    server, not a data location.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    stage = tempfile.mkdtemp(prefix="catalog-lake-code-")
+    zpath = os.path.join(stage, "catalog_lake.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
