@@ -51,16 +51,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to shared storage and we only read it.
-    Only when it is unset (tests, a laptop) do we create a private one.
+    Only when it is unset (tests, a laptop) do we create a private one.  The
+    SparkContext's checkpoint directory is pointed at it once (Spark adds a
+    per-application sub-folder there for ``DataFrame.checkpoint``).
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="catalog-lake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext.getCheckpointDir() or current
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
