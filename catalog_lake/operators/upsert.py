@@ -27,17 +27,24 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str],
            order: Sequence[Column | str] | None = None) -> DataFrame:
     """K1: incoming rows replace all non-key columns of existing keys; new keys are added.
 
-    Within the batch the first row per key wins (``order``; default: the
-    key itself plus every column, i.e. a deterministic survivor) — W7.
-    Rows with a null key are dropped (F13).
+    One shuffle: target and source are unioned with a side tag and one row
+    per key survives — a source row if the key is in the batch (the first by
+    ``order``; default every non-key column, a deterministic survivor, W7),
+    else the target row.  Spark cuts each key to one row per map task before
+    the shuffle (window group limit), so a hot key does not skew the reducer.
+    Source rows with a null key are dropped (F13); the target is a keyed
+    table (unique, non-null keys).
     """
     keys = _keys(pk)
-    src = source.filter(F.lit(True) if not keys else
-                        F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    cols = target.columns
     ordering = list(order) if order is not None else [c for c in source.columns if c not in keys]
-    src = keep_one(src, keys, ordering)
-    kept = target.join(src.select(*keys), keys, "left_anti")
-    return kept.unionByName(src.select(*target.columns))
+    ordering = [F.col(c) if isinstance(c, str) else c for c in ordering]
+    not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    tagged = (source.filter(not_null).select(*cols).withColumn("_side", F.lit(0))
+              .unionByName(target.withColumn("_side", F.lit(1))))
+    # Within the source the caller's order decides; target rows only compete with themselves.
+    order_cols = [F.col("_side")] + [F.when(F.col("_side") == 0, c) for c in ordering]
+    return keep_one(tagged, keys, order_cols).drop("_side")
 
 
 def insert_missing(target: DataFrame, source: DataFrame, pk: str | Sequence[str]) -> DataFrame:
