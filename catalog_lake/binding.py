@@ -62,7 +62,8 @@ _LOCKS_GUARD = threading.Lock()
 # Layout keys are composite/high-cardinality so a hot article (a third of
 # all compat rows) still spreads over many range partitions.
 MATERIALISED = {"groups": ("group_id",), "articles": ("article_id",),
-                "compatible_cars": ("article_id", "car_type_id"), "catalog_urls": ("url",)}
+                "compatible_cars": ("article_id", "car_type_id"), "catalog_urls": ("url",),
+                "postings": ("token", "article_id")}
 
 
 class Catalog:
@@ -327,6 +328,13 @@ class Catalog:
             out = out.unionByName(df)
         return out
 
+    @cached_property
+    def postings(self) -> DataFrame:
+        """The full-text index (S1), stored sorted by token: a query's token filter
+        is pushed into the scan and skips row groups by min/max."""
+        from catalog_lake.operators.search import build_postings
+        return self._store("postings", build_postings(self.articles, self.article_details))
+
     def all_tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in (
             "manufacturers", "model_series", "car_types", "car_type_details", "groups",

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalog_lake.functions.text import is_blank, pct
+from catalog_lake.functions.text import pct
 
 
 # -- joins ----------------------------------------------------------------
@@ -187,4 +187,3 @@ def first_seen(df: DataFrame, pk: str, order_col: str) -> DataFrame:
 
 
 __all__ = [n for n in dir() if not n.startswith("_")]
-_ = (Window, is_blank)

@@ -1,6 +1,5 @@
 """Data-quality suite V1–V18 and dimension backfill K5/K7 (+ V14)."""
 
-from pyspark.sql import functions as F
 
 from catalog_lake.plans import backfill as bf
 from catalog_lake.plans import quality as dq
@@ -298,5 +297,3 @@ GROUP BY manufacturer_name ORDER BY n DESC, manufacturer_name LIMIT 10""", ("cra
 def v14c(t):
     return bf.top_missing_names(bf.crawled_dimensions(t)["manufacturers"], t.compatible_cars)
 
-
-_ = F

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from catalog_lake.functions.filters import effective_year_to
 from catalog_lake.operators import dedup as dd
 from catalog_lake.operators import relational as rel
 from catalog_lake.operators import upsert as up
@@ -280,5 +279,3 @@ def g11(t):
                                .when(F.col("image_index") == 1, F.lit("cached")).otherwise(F.lit("downloaded")))
     return inc.manifest_totals(manifest)
 
-
-_ = (effective_year_to,)

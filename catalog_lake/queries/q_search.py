@@ -9,7 +9,7 @@ V = ("articles", "article_details", "postings")
 
 
 def _postings(t):
-    return sx.build_postings(t.articles, t.article_details)
+    return t.postings
 
 
 def _q(s: str) -> str:
@@ -39,7 +39,8 @@ def rank_sql(q: str) -> str:
 
 @register("s1_postings", "SELECT token, article_id, field, weight, pos FROM postings", V)
 def s1(t):
-    return _postings(t).select("token", "article_id", "field", "weight", "pos")
+    """The index build itself (not the stored copy)."""
+    return sx.build_postings(t.articles, t.article_details).select("token", "article_id", "field", "weight", "pos")
 
 
 _MATCHES = {

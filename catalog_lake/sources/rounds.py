@@ -14,7 +14,6 @@ failed job leaves the previous version live.
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -250,5 +249,3 @@ def load_all(spark: SparkSession, root: str, load) -> DataFrame:
         out.append((e, "loaded", int(load(e, df))))
     return spark.createDataFrame(out, "entity string, status string, rows long")
 
-
-_ = os
