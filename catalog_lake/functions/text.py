@@ -50,18 +50,21 @@ def _digits_to_long(c: Column) -> Column:
     return F.when(c == "", F.lit(None).cast("bigint")).otherwise(c.try_cast("bigint"))
 
 
-def parse_url_ids(u: Column | str, kind: str) -> Column:
-    """Named ids of one url kind as a struct, or null when the url is another kind."""
+def parse_url_ids(u: Column | str, kind: str, normalized: bool = False) -> Column:
+    """Named ids of one url kind as a struct, or null when the url is another kind.
+
+    ``normalized=True`` skips D1 when the caller already normalised the column.
+    """
     pattern, names = URL_PATTERNS[kind]
-    url = normalize_url(u)
+    url = _c(u) if normalized else normalize_url(u)
     fields = [_digits_to_long(F.regexp_extract(url, pattern, i + 1)).alias(n)
               for i, n in enumerate(names)]
     return F.when(url.rlike(pattern), F.struct(*fields))
 
 
-def url_kind(u: Column | str) -> Column:
+def url_kind(u: Column | str, normalized: bool = False) -> Column:
     """Which of the seven url kinds ``u`` is (first match in declaration order), else null."""
-    url = normalize_url(u)
+    url = _c(u) if normalized else normalize_url(u)
     expr = None
     for kind, (pattern, _) in URL_PATTERNS.items():
         expr = F.when(url.rlike(pattern), F.lit(kind)) if expr is None else \

@@ -279,3 +279,21 @@ def g11(t):
                                .when(F.col("image_index") == 1, F.lit("cached")).otherwise(F.lit("downloaded")))
     return inc.manifest_totals(manifest)
 
+
+
+@register("a5_a3_w2_rounds_roundtrip", f"""
+SELECT pk, arg_max(round_label, {_RNUM}) AS round_label, count(*) AS records
+FROM rounds GROUP BY pk""", ("rounds",))
+def a5(t):
+    """Rounds written Hive-partitioned (entity_type=/crawl_date=), read back recursively with
+    file provenance, newest round kept per key."""
+    import uuid
+    from catalog_lake.session import checkpoint_dir
+    from catalog_lake.sources import rounds as rs
+    base = f"{checkpoint_dir(t.spark).rstrip('/')}/rounds-{uuid.uuid4().hex}"
+    (t.rounds.select("pk", "round_label", "row_pos", "event_type")
+     .withColumn("entity_type", F.lit("events")).withColumn("crawl_date", F.col("round_label"))
+     .write.partitionBy("entity_type", "crawl_date").option("compression", "zstd").parquet(base))
+    r = rs.read_rounds(t.spark, base, "events")
+    counts = r.groupBy("pk").agg(F.count(F.lit(1)).alias("records"))
+    return rs.dedup_rounds(r, "pk").select("pk", F.col("crawl_date").alias("round_label")).join(counts, "pk")

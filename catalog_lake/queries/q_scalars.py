@@ -38,14 +38,15 @@ FROM (SELECT expected_kind, url, {n} AS n FROM catalog_urls) u"""
 
 @register("d1_d2_d28_f4_url_ids", _url_oracle(), ("catalog_urls",))
 def d1_d2(t):
-    u = t.catalog_urls
+    u = t.catalog_urls.withColumn("normalized", tx.normalize_url("url"))
     ids = []
     for name in _ID_NAMES:
-        parts = [tx.parse_url_ids("url", k)[name] for k, (_, names) in tx.URL_PATTERNS.items() if name in names]
+        parts = [tx.parse_url_ids("normalized", k, normalized=True)[name]
+                 for k, (_, names) in tx.URL_PATTERNS.items() if name in names]
         ids.append(F.coalesce(*parts).alias(name))
     s = DEFAULT_SCOPE
-    return u.select("expected_kind", "url", tx.normalize_url("url").alias("normalized"),
-                    tx.url_kind("url").alias("kind"), *ids,
+    return u.select("expected_kind", "url", "normalized", tx.url_kind("normalized", normalized=True).alias("kind"),
+                    *ids,
                     flt.in_scope("url", s["lang_id"], s["country_id"], s["type_id"]).alias("in_scope"),
                     tx.article_id_from_url("url").alias("article_id_in_url"))
 
@@ -364,3 +365,16 @@ WHERE year_from <> '' AND year_to <> '' AND year_from > year_to""", ("compatible
 def f18(t):
     return t.compatible_cars.filter(flt.invalid_range("year_from", "year_to")) \
         .select("article_id", "car_type_id", "year_from", "year_to")
+
+
+@register("d12_d26_json_boundary", """
+SELECT article_id, len(technical_details) AS n_pairs,
+       array_to_string(list_transform(technical_details, lambda kv: kv.key), '|') AS keys,
+       CAST(to_json(technical_details) AS VARCHAR) AS json_text
+FROM article_details""", ("article_details",))
+def d26(t):
+    """Nested list -> JSON text -> parsed back with an explicit schema."""
+    j = t.article_details.select("article_id", tx.list_json("technical_details").alias("json_text"))
+    parsed = F.from_json("json_text", "array<struct<key:string,value:string>>")
+    return j.select("article_id", F.array_size(parsed).cast("bigint").alias("n_pairs"),
+                    F.array_join(F.transform(parsed, lambda kv: kv["key"]), "|").alias("keys"), "json_text")
