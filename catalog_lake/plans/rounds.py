@@ -63,3 +63,10 @@ def crawl_counters(t, crawled: dict[str, DataFrame]) -> DataFrame:
         "details_skipped_no_parent": rel.orphans(t.article_details, t.articles, "article_id"),
     }, "counter")
     return counts.unionByName(filtered).unionByName(log_rows)
+
+
+def car_type_groups(category_groups: DataFrame) -> DataFrame:
+    """Quirk 14: the (car type, group) bridge, taken from the extracted category rows
+    *before* groups are de-duplicated by ``group_id`` (which would drop it)."""
+    return (category_groups.filter(F.col("car_type_id").isNotNull() & F.col("group_id").isNotNull())
+            .select("car_type_id", "group_id").distinct())

@@ -130,3 +130,21 @@ def test_paginate_bounds(spark):
 
 def test_f_columns_used(spark):
     assert F is not None
+
+
+def test_assign_ids_numbers_distinct_names_quirk3(spark):
+    names = spark.createDataFrame([("VW",), ("VW",), ("ALFA",), ("",), (None,), ("BMW",)], "n string")
+    got = sorted((r["n"], r["new_id"]) for r in dd.assign_ids(names, "n", 121).collect())
+    assert got == [("ALFA", 122), ("BMW", 123), ("VW", 124)]
+
+
+def test_car_type_groups_bridge_quirk14(spark):
+    from catalog_lake.plans.rounds import car_type_groups
+    rows = spark.createDataFrame([(1, 10), (2, 10), (1, 10), (None, 11)], "car_type_id long, group_id long")
+    assert sorted(tuple(r) for r in car_type_groups(rows).collect()) == [(1, 10), (2, 10)]
+
+
+def test_registry_keys_have_oracles():
+    import __spark_entry__ as E
+    missing = set(E.queries()) - set(E.oracle_sql())
+    assert missing == {"d15_normalize_name", "j9_f3_allowlist_similarity", "i3_discover_links"}
