@@ -80,8 +80,11 @@ class Catalog:
         from catalog_lake.session import ship_code
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        from catalog_lake.session import is_classic
         if materialize is None:
             materialize = spark.conf.get("catalog_lake.materialize", "true") == "true"
+        # Materialising needs a file-system check on the driver's JVM (classic sessions only).
+        materialize = materialize and is_classic(spark)
         self.materialize = materialize
         ship_code(spark)
 

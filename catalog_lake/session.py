@@ -41,12 +41,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in conf.items():
         builder = builder.config(k.replace("_", "."), v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if is_classic(spark):
+        spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     ship_code(spark)
     return spark
 
 
+def is_classic(spark: SparkSession) -> bool:
+    """True for a classic (JVM-backed) session, False for Spark Connect."""
+    try:
+        return spark.sparkContext is not None
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return False
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -59,6 +68,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="catalog-lake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
+    if not is_classic(spark):
+        return current
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -83,8 +94,8 @@ def ship_code(spark: SparkSession) -> None:
     does).  The zip is a driver-side staging file handed to Spark's file
     server, not a data location.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    classic = is_classic(spark)
+    app = spark.sparkContext.applicationId if classic else f"connect-{spark.session_id}"
     if app in _SHIPPED:
         return
     import zipfile
@@ -97,5 +108,8 @@ def ship_code(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(zpath)
+    if classic:
+        spark.sparkContext.addPyFile(zpath)
+    else:
+        spark.addArtifacts(zpath, pyfile=True)
     _SHIPPED.add(app)
