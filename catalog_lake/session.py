@@ -12,6 +12,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The only broadcasts are AQE's runtime choices, bounded by measured size.
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # Detail records can be tens of MiB each: keep Arrow batches and file
     # splits small enough that one task never holds a whole round.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
@@ -56,6 +59,25 @@ def is_classic(spark: SparkSession) -> bool:
         return False
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle sizing for a run over ``input_bytes`` of Parquet on a cluster.
+
+    Start with roughly one shuffle partition per 128 MiB of input (never fewer
+    than two per core) and let AQE coalesce small ones and split skewed ones;
+    e.g. 100 TB on 1000 executors x 8 cores gives ~780k initial partitions.
+    """
+    cores = max(1, executor_cores * executors)
+    n = max(2 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
