@@ -103,14 +103,14 @@ def v6(t):
 
 
 @register("v7_j12_f12_image_hosts", """
-SELECT count(*) AS non_s3_images FROM (SELECT unnest(image_urls) AS url FROM article_details) u
-WHERE url NOT LIKE '%s3.us-east-1.amazonaws.com%' AND url NOT LIKE '%auto-car-parts%' AND url <> ''""", (D,))
+SELECT count(*) AS foreign_images FROM (SELECT unnest(image_urls) AS url FROM article_details) u
+WHERE url NOT LIKE '%img.example%' AND url NOT LIKE '%cdn.example%' AND url <> ''""", (D,))
 def v7(t):
     return dq.foreign_image_count(t)
 
 
 @register("v7_image_hosts_cdn_policy", """
-SELECT count(*) AS non_s3_images FROM (SELECT unnest(image_urls) AS url FROM article_details) u
+SELECT count(*) AS foreign_images FROM (SELECT unnest(image_urls) AS url FROM article_details) u
 WHERE url NOT LIKE '%img.example%' AND url <> ''""", (D,))
 def v7b(t):
     """The same policy check with this catalogue's own image host allowed."""
@@ -167,8 +167,8 @@ UNION ALL SELECT 'orphan_details', count(*) FROM article_details d LEFT JOIN art
                                             WHERE a.article_id IS NULL
 UNION ALL SELECT 'orphan_compat', count(*) FROM compatible_cars c LEFT JOIN articles a USING (article_id)
                                            WHERE a.article_id IS NULL
-UNION ALL SELECT 'non_s3_images', count(*) FROM (SELECT unnest(image_urls) AS url FROM article_details) u
-          WHERE url NOT LIKE '%s3.us-east-1.amazonaws.com%' AND url NOT LIKE '%auto-car-parts%' AND url <> ''
+UNION ALL SELECT 'foreign_images', count(*) FROM (SELECT unnest(image_urls) AS url FROM article_details) u
+          WHERE url NOT LIKE '%img.example%' AND url NOT LIKE '%cdn.example%' AND url <> ''
 UNION ALL SELECT 'missing_make_model', count(*) FROM compatible_cars
           WHERE manufacturer_name IS NULL OR manufacturer_name = '' OR model_name IS NULL OR model_name = ''
 UNION ALL SELECT 'pct_with_details', round(CAST((SELECT count(DISTINCT article_id) FROM articles
@@ -187,7 +187,7 @@ def v13(t):
 @register("v18_verdict", """
 WITH report AS (""" + _HEALTH + """),
 thresholds AS (SELECT * FROM (VALUES ('dup_articles', '==', 0.0), ('orphan_details', '==', 0.0),
-    ('orphan_compat', '==', 0.0), ('non_s3_images', '==', 0.0), ('pct_with_details', '>=', 95.0),
+    ('orphan_compat', '==', 0.0), ('foreign_images', '==', 0.0), ('pct_with_details', '>=', 95.0),
     ('pct_with_cars', '>=', 90.0), ('pct_with_thumbnail', '>=', 80.0)) v("check", op, target))
 SELECT r."check", r.value, t.op, CAST(t.target AS DOUBLE) AS target,
        CASE WHEN t.op = '==' THEN r.value = t.target ELSE r.value >= t.target END AS passed
