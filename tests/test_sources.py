@@ -105,3 +105,28 @@ def test_allowlist_encodings(spark, tmp_path):
     p2.write_bytes("Citroën\nRENAULT\n".encode("latin-1"))
     names = [r["name"] for r in fl.read_allowlist(spark, str(p2)).orderBy("line_no").collect()]
     assert names == ["Citroën", "RENAULT"]
+
+
+def test_load_rounds_idempotent_and_picks_up_orphans(spark, tmp_path):
+    """E2 cycle: dedup newest round, FK-filter details, upsert, publish; K8 on reload."""
+    from catalog_lake.plans.load import load_rounds
+    from catalog_lake.sources.schemas import SCHEMAS
+    rounds, lake = str(tmp_path / "rounds"), str(tmp_path / "lake")
+    art = lambda rows: spark.createDataFrame(
+        [{"article_id": a, "part_name": n} for a, n in rows], SCHEMAS["articles"])
+    cars = [{"car_type_id": 7, "model_series_id": 5, "manufacturer_name": "FORD", "model_name": "KUGA",
+             "engine_or_variant": "1.5", "year_from": "2013", "year_to": "", "extra_qualifier": ""}]
+    det = lambda rows: spark.createDataFrame(
+        [{"article_id": a, "article_name": n, "compatible_cars": cars} for a, n in rows], SCHEMAS["article_details"])
+    rs.write_round(art([(1, "a1"), (2, "b1")]), rounds, "articles", "r1")
+    rs.write_round(det([(1, "d1"), (3, "orphan")]), rounds, "article_details", "r1")
+    first = {r["entity"]: (r["rows"], r["skipped"]) for r in load_rounds(spark, rounds, lake).collect()}
+    assert first["articles"] == (2, 0) and first["article_details"] == (1, 1)
+    assert first["compatible_cars"][0] == 1
+    rs.write_round(art([(2, "b2"), (3, "c2")]), rounds, "articles", "r2")
+    load_rounds(spark, rounds, lake)
+    again = {r["entity"]: (r["rows"], r["skipped"]) for r in load_rounds(spark, rounds, lake).collect()}
+    assert again["article_details"] == (2, 0)                       # K8: the orphan is loaded now
+    names = {r["article_id"]: r["part_name"] for r in rs.current(spark, lake, "articles").collect()}
+    assert names == {1: "a1", 2: "b2", 3: "c2"}                     # newest round wins
+    assert rs.current(spark, lake, "compatible_cars").count() == 2  # children replaced, not duplicated
