@@ -18,6 +18,8 @@ _DEFAULTS = {
     # Detail records can be tens of MiB each: keep Arrow batches and file
     # splits small enough that one task never holds a whole round.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxBytesPerOutputBatch": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
