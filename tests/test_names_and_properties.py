@@ -148,3 +148,26 @@ def test_registry_keys_have_oracles():
     import __spark_entry__ as E
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing == {"d15_normalize_name", "j9_f3_allowlist_similarity", "i3_discover_links"}
+
+
+def test_upsert_property_against_python_model(spark):
+    """Random keyed batches: upsert twice == once == a plain-Python model, for any partitioning."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from("abcd")), max_size=12)
+
+    @settings(max_examples=8, deadline=None)
+    @given(target=st.dictionaries(st.integers(0, 6), st.sampled_from("wxyz"), max_size=6), source=rows,
+           parts=st.integers(1, 5))
+    def check(target, source, parts):
+        t = spark.createDataFrame(sorted(target.items()), "k long, v string").repartition(parts)
+        s = spark.createDataFrame(source, "k long, v string").repartition(parts)
+        model = dict(target)
+        for k in {k for k, _ in source if k is not None}:
+            model[k] = min(v for kk, v in source if kk == k)   # first by the non-key columns
+        once = sorted(tuple(r) for r in up.upsert(t, s, "k").collect())
+        twice = sorted(tuple(r) for r in up.upsert(up.upsert(t, s, "k"), s, "k").collect())
+        assert once == twice == sorted(model.items())
+
+    check()
