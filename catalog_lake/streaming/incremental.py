@@ -51,7 +51,8 @@ def plan_session(links: DataFrame, log: DataFrame, is_nav: Column, url: str = "u
 
 
 # -- I3: link discovery from stored pages ---------------------------------------
-LINKS_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("position", T.LongType()),
+LINKS_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+                             T.StructField("position", T.LongType()),
                              T.StructField("href", T.StringType()), T.StructField("text", T.StringType())])
 
 
@@ -88,17 +89,17 @@ def _links_of(html: str) -> list[tuple[str, str]]:
 def _extract_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for pid, html in zip(pdf["page_id"], pdf["html"]):
+        for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
             for i, (h, txt) in enumerate(_links_of(html), start=1):
-                rows.append((pid, i, h, txt))
-        yield pd.DataFrame(rows, columns=["page_id", "position", "href", "text"])
+                rows.append((pid, url, i, h, txt))
+        yield pd.DataFrame(rows, columns=["page_id", "url", "position", "href", "text"])
 
 
 def discover_links(pages: DataFrame, base_url: str | None = None) -> DataFrame:
     """Every ``<a href>`` of every page, absolutised against the page (or ``base_url``)
-    and classified by url kind.  Only (page_id, html) cross into Python."""
-    raw = pages.select("page_id", "html").mapInPandas(_extract_links, LINKS_SCHEMA)
-    j = raw.join(pages.select("page_id", "url"), "page_id")
+    and classified by url kind.  (page_id, url, html) cross into Python once; the page url
+    rides along, so the page table is not scanned or joined a second time."""
+    j = pages.select("page_id", "url", "html").mapInPandas(_extract_links, LINKS_SCHEMA)
     origin = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1) if base_url is None else F.lit(base_url.rstrip("/"))
     h = F.col("href")
     absolute = (F.when(h.startswith("http://") | h.startswith("https://"), h)
@@ -197,3 +198,37 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
     return manifest.agg(F.count_if(s == "downloaded").cast("bigint").alias("downloaded"),
                         F.count_if(s == "cached").cast("bigint").alias("cached"),
                         F.count_if(~s.isin("downloaded", "cached") | s.isNull()).cast("bigint").alias("errors"))
+
+
+class ProgressCounters:
+    """I7 for streams: collect each micro-batch's input rows and observed metrics.
+
+    Register with ``spark.streams.addListener(pc.listener)``; ``pc.batches``
+    holds one dict per finished micro-batch (batch id, input rows, metrics of
+    every ``observe`` on the stream).
+    """
+
+    def __init__(self):
+        from pyspark.sql.streaming import StreamingQueryListener
+        outer = self
+        self.batches: list[dict] = []
+
+        class _L(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                metrics = {name: row.asDict() for name, row in (p.observedMetrics or {}).items()}
+                outer.batches.append({"batch": p.batchId, "input_rows": p.numInputRows, "metrics": metrics})
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        self.listener = _L()
+
+    def total(self, name: str, field: str) -> int:
+        return sum(int(b["metrics"].get(name, {}).get(field, 0) or 0) for b in self.batches)

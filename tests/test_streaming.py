@@ -127,3 +127,25 @@ def test_foreach_batch_replay_after_failure_is_idempotent(spark, tmp_path):
     inc.upsert_batch(handler, spark.readStream.schema(SCHEMA).json(src), ck)
     got = sorted((r["article_id"], r["part_name"]) for r in spark.read.parquet(out).collect())
     assert got == [(1, "a"), (2, "b")] and calls["n"] == 2
+
+
+def test_stream_progress_listener_sees_observed_counters(spark, tmp_path):
+    src = str(tmp_path / "land")
+    for i in range(3):
+        _land(src, f"{i}.json", [{"article_id": k if k else None, "part_name": "p"} for k in range(4)])
+    pc = inc.ProgressCounters()
+    spark.streams.addListener(pc.listener)
+    try:
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(src)
+        observed = stream.observe("ingest", F.count(F.lit(1)).alias("records"),
+                                  F.count_if(F.col("article_id").isNull()).alias("missing_key"))
+        inc.run_to_table(observed, str(tmp_path / "out"), str(tmp_path / "ck"))
+        import time
+        for _ in range(50):
+            if pc.total("ingest", "records") >= 12:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(pc.listener)
+    assert pc.total("ingest", "records") == 12 and pc.total("ingest", "missing_key") == 3
+    assert len([b for b in pc.batches if b["input_rows"]]) == 3
