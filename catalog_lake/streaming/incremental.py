@@ -104,7 +104,8 @@ def discover_links(pages: DataFrame, base_url: str | None = None) -> DataFrame:
     h = F.col("href")
     absolute = (F.when(h.startswith("http://") | h.startswith("https://"), h)
                 .otherwise(F.concat(origin, F.lit("/"), F.regexp_replace(h, r"^/+", ""))))
-    return j.select("page_id", "position", "href", "text", absolute.alias("link"), url_kind(absolute).alias("kind"))
+    return j.select("page_id", "url", "position", "href", "text", absolute.alias("link"),
+                    url_kind(absolute).alias("kind"))
 
 
 # -- I4 / I5 / I6 / I7: streaming ------------------------------------------------
