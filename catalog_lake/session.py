@@ -113,27 +113,42 @@ def ship_code(spark: SparkSession) -> None:
     """Make this package importable by Python workers (pandas UDFs, ``mapInPandas``).
 
     Executors run their own Python processes; they import the functions
-    pickled by reference from ``catalog_lake``.  The package is zipped once per
-    application and distributed with ``addPyFile`` (what ``--py-files``
-    does).  The zip is a driver-side staging file handed to Spark's file
-    server, not a data location.
+    pickled by reference from ``catalog_lake``.  The package is zipped in
+    memory once per application, written into the shared checkpoint folder
+    and added with ``addPyFile`` (what ``--py-files`` does), so executors
+    fetch it from shared storage — nothing is staged in a machine-local folder.
     """
     classic = is_classic(spark)
     app = spark.sparkContext.applicationId if classic else f"connect-{spark.session_id}"
     if app in _SHIPPED:
         return
+    import hashlib
+    import io
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
-    stage = tempfile.mkdtemp(prefix="catalog-lake-code-")
-    zpath = os.path.join(stage, "catalog_lake.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for base, _dirs, files in os.walk(pkg):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = buf.getvalue()
+    name = f"catalog_lake-{hashlib.sha1(data).hexdigest()[:12]}.zip"
     if classic:
-        spark.sparkContext.addPyFile(zpath)
+        path = f"{checkpoint_dir(spark).rstrip('/')}/code/{name}"
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(hp):
+            out = fs.create(hp, True)
+            out.write(bytearray(data))
+            out.close()
+        spark.sparkContext.addPyFile(path)
     else:
-        spark.addArtifacts(zpath, pyfile=True)
+        stage = tempfile.mkdtemp(prefix="catalog-lake-code-")  # Connect uploads from the client
+        local = os.path.join(stage, name)
+        with open(local, "wb") as fh:
+            fh.write(data)
+        spark.addArtifacts(local, pyfile=True)
     _SHIPPED.add(app)
