@@ -61,8 +61,7 @@ _LOCKS_GUARD = threading.Lock()
 # reference's load step), then read column-pruned by every query.
 # Layout keys are composite/high-cardinality so a hot article (a third of
 # all compat rows) still spreads over many range partitions.
-MATERIALISED = {"groups": ("group_id",), "articles": ("article_id",),
-                "compatible_cars": ("article_id", "car_type_id"), "catalog_urls": ("url",),
+MATERIALISED = {"articles": ("article_id",), "compatible_cars": ("article_id", "car_type_id"),
                 "postings": ("token", "article_id")}
 
 
@@ -70,7 +69,7 @@ class Catalog:
     """Lazy catalogue views over one directory of driver tables.
 
     The views that need joins or windows (``MATERIALISED``) are written once
-    per application as Parquet under the shared checkpoint folder, range
+    per application as Parquet under the shared checkpoint folder, hash
     partitioned and sorted by their key, and read back from there: a query
     then scans only the columns it needs and never repeats the binding
     joins.  ``materialize=False`` keeps every view a lazy plan.
@@ -100,7 +99,10 @@ class Catalog:
         with lock:
             if not _exists(self.spark, f"{path}/_SUCCESS"):
                 keys = MATERIALISED[name]
-                build.repartitionByRange(*keys).sortWithinPartitions(*keys) \
+                # Hash-partitioned on the composite key (no range-sampling pass
+                # over the input), sorted within each file so row-group
+                # statistics still prune key lookups.
+                build.repartition(*keys).sortWithinPartitions(*keys) \
                     .write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
