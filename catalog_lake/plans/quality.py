@@ -145,25 +145,36 @@ def manufacturer_coverage(t, top: int | None = 30) -> DataFrame:
 
 
 def health_report(t) -> DataFrame:
-    """One labelled row per check (U1), values as double."""
-    def lab(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-        return df.select(F.lit(name or col).alias("check"), F.col(col).cast("double").alias("value"))
-
-    counts = rel.label_counts({"articles": t.articles, "article_details": t.article_details,
-                               "compatible_cars": t.compatible_cars}, "check") \
-        .select("check", F.col("n").cast("double").alias("value"))
-    dups = rel.label_counts({"dup_articles": rel.duplicates(t.articles, ["article_id"]),
-                             "dup_details": rel.duplicates(t.article_details, ["article_id"])}, "check") \
-        .select("check", F.col("n").cast("double").alias("value"))
-    o = orphan_counts(t)
-    cov = coverage_pct(t)
-    parts = [counts, dups, lab(o, "orphan_details"), lab(o, "orphan_compat"),
-             lab(foreign_image_count(t), "foreign_images"), lab(missing_make_model(t), "missing_make_model"),
-             lab(cov, "pct_with_details"), lab(cov, "pct_with_cars"), lab(cov, "pct_with_thumbnail")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One labelled row per check (U1), values as double.
+
+    Counters of one table come from one aggregate pass over it (compat:
+    rows, blank make/model, distinct articles; articles: rows, thumbnails);
+    duplicates and orphans add one grouped / anti-join pass each.
+    """
+    a, d, c = t.articles, t.article_details, t.compatible_cars
+    art = a.agg(F.count(F.lit(1)).alias("articles"),
+                F.count_if(~is_blank("thumbnail_url")).alias("with_thumbnail"))
+    comp = c.agg(F.count(F.lit(1)).alias("compatible_cars"),
+                 F.count_if(is_blank("manufacturer_name") | is_blank("model_name")).alias("missing_make_model"),
+                 F.countDistinct("article_id").alias("articles_with_cars"))
+    det = d.agg(F.count(F.lit(1)).alias("article_details"))
+    with_details = a.join(d.select("article_id"), "article_id", "left_semi").select("article_id").distinct() \
+        .agg(F.count(F.lit(1)).alias("with_details"))
+    dups = (rel.duplicates(a, ["article_id"]).agg(F.count(F.lit(1)).alias("dup_articles"))
+            .crossJoin(rel.duplicates(d, ["article_id"]).agg(F.count(F.lit(1)).alias("dup_details"))))
+    one = (art.crossJoin(comp).crossJoin(det).crossJoin(with_details).crossJoin(dups)
+           .crossJoin(orphan_counts(t)).crossJoin(foreign_image_count(t)))
+    total = F.col("articles")
+    checks = [("articles", F.col("articles")), ("article_details", F.col("article_details")),
+              ("compatible_cars", F.col("compatible_cars")), ("dup_articles", F.col("dup_articles")),
+              ("dup_details", F.col("dup_details")), ("orphan_details", F.col("orphan_details")),
+              ("orphan_compat", F.col("orphan_compat")), ("foreign_images", F.col("foreign_images")),
+              ("missing_make_model", F.col("missing_make_model")),
+              ("pct_with_details", pct(F.col("with_details"), total)),
+              ("pct_with_cars", pct(F.col("articles_with_cars"), total)),
+              ("pct_with_thumbnail", pct(F.col("with_thumbnail"), total))]
+    rows = F.array(*[F.struct(F.lit(n).alias("check"), v.cast("double").alias("value")) for n, v in checks])
+    return one.select(F.explode(rows).alias("r")).select("r.check", "r.value")
 
 
 def verdict(report: DataFrame, thresholds: DataFrame) -> DataFrame:
