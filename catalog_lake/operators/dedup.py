@@ -44,15 +44,22 @@ def keep_round(df: DataFrame, pk: str | Sequence[str], round_col: str = "round_l
     return keep_one(df, pk, order)
 
 
-def assign_ids(names: DataFrame, name_col: str, base: Column | int, id_col: str = "new_id") -> DataFrame:
+def assign_ids(names: DataFrame, name_col: str, base: DataFrame | int, id_col: str = "new_id") -> DataFrame:
     """``base + ROW_NUMBER() OVER (ORDER BY name)`` over *distinct* names (quirk 3 fixed).
 
+    ``base`` is a number or a one-row, one-column frame (e.g. the current
+    maximum id), cross-joined in so the value never goes through the driver.
     The window has no partition: it runs on the distinct missing names only,
     a set bounded by the dimension's domain, after a distributed distinct.
     """
     d = names.select(name_col).filter(F.col(name_col).isNotNull() & (F.col(name_col) != "")).distinct()
-    b = F.lit(base) if isinstance(base, int) else base
-    return d.withColumn(id_col, (b + F.row_number().over(Window.orderBy(name_col))).cast("bigint"))
+    if isinstance(base, DataFrame):
+        d = d.crossJoin(base.select(F.col(base.columns[0]).alias("_base")))
+        b = F.col("_base")
+    else:
+        b = F.lit(base)
+    out = d.withColumn(id_col, (b + F.row_number().over(Window.orderBy(name_col))).cast("bigint"))
+    return out.drop("_base") if isinstance(base, DataFrame) else out
 
 
 def drop_full_duplicates(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -42,10 +42,10 @@ def crawled_dimensions(t, min_year: int = MIN_YEAR_TO) -> dict[str, DataFrame]:
 def backfill_dimensions(mf: DataFrame, ms: DataFrame, ct: DataFrame, compat: DataFrame) -> dict[str, DataFrame]:
     """K7: steps 2–5 of the dimension repair; returns the three repaired tables."""
     names = compat.select("manufacturer_name").distinct()
-    # Step 2: new manufacturers, ids after the current maximum (one scalar to the driver).
-    base = mf.agg(rel.max_id(mf, "manufacturer_id")).first()[0]
+    # Step 2: new manufacturers, ids after the current maximum (a one-row frame, not a driver value).
+    base = mf.agg(rel.max_id(mf, "manufacturer_id").cast("bigint").alias("base"))
     missing = names.join(mf.select(F.col("manufacturer_name")), "manufacturer_name", "left_anti")
-    new_mf = assign_ids(missing, "manufacturer_name", int(base), "manufacturer_id") \
+    new_mf = assign_ids(missing, "manufacturer_name", base, "manufacturer_id") \
         .select(F.col("manufacturer_id").cast(mf.schema["manufacturer_id"].dataType), "manufacturer_name")
     mf2 = insert_missing(mf, new_mf, "manufacturer_id")
 
