@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -68,8 +69,8 @@ MATERIALISED = {"articles": ("article_id",), "compatible_cars": ("article_id", "
 class Catalog:
     """Lazy catalogue views over one directory of driver tables.
 
-    The views that need joins or windows (``MATERIALISED``) are written once
-    per application as Parquet under the shared checkpoint folder, hash
+    The expensive views (``MATERIALISED``) are written once per input
+    fingerprint as Parquet under the shared checkpoint folder, hash
     partitioned and sorted by their key, and read back from there: a query
     then scans only the columns it needs and never repeats the binding
     joins.  ``materialize=False`` keeps every view a lazy plan.
@@ -87,23 +88,50 @@ class Catalog:
         self.materialize = materialize
         ship_code(spark)
 
+    def _fingerprint(self) -> str:
+        """Identity of the inputs: every input file's path, size and modification time.
+
+        Tables materialised from unchanged inputs are reused by later
+        applications sharing the checkpoint folder; changed inputs get new ones.
+        """
+        if getattr(self, "_fp", None) is None:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            parts = [self.sf_dir]
+            for t in TABLES:
+                p = jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{t}.parquet")
+                fs = p.getFileSystem(conf)
+                if fs.exists(p):
+                    it = fs.listFiles(p, True)
+                    while it.hasNext():
+                        st = it.next()
+                        parts.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+            self._fp = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+        return self._fp
+
     def _store(self, name: str, build: DataFrame) -> DataFrame:
         if not self.materialize or name not in MATERIALISED:
             return build
         from catalog_lake.session import checkpoint_dir
-        tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
-        app = self.spark.sparkContext.applicationId
-        path = f"{checkpoint_dir(self.spark).rstrip('/')}/catalog-{app}-{tag}/{name}"
+        base = f"{checkpoint_dir(self.spark).rstrip('/')}/catalog-{self._fingerprint()}"
+        path = f"{base}/{name}"
         with _LOCKS_GUARD:
             lock = _LOCKS.setdefault(path, threading.Lock())
         with lock:
             if not _exists(self.spark, f"{path}/_SUCCESS"):
                 keys = MATERIALISED[name]
+                # Written to a private folder, then renamed into place: a crashed
+                # or concurrent writer never leaves a half table under ``path``.
+                tmp = f"{base}/_tmp-{name}-{uuid.uuid4().hex}"
                 # Hash-partitioned on the composite key (no range-sampling pass
                 # over the input), sorted within each file so row-group
                 # statistics still prune key lookups.
-                build.repartition(*keys).sortWithinPartitions(*keys) \
-                    .write.mode("overwrite").parquet(path)
+                build.repartition(*keys).sortWithinPartitions(*keys).write.parquet(tmp)
+                jvm = self.spark.sparkContext._jvm
+                src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+                fs = dst.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+                if not fs.exists(dst) and not fs.rename(src, dst) and not fs.exists(dst):
+                    raise RuntimeError(f"could not publish materialised table {path}")
         return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
