@@ -130,3 +130,21 @@ def test_load_rounds_idempotent_and_picks_up_orphans(spark, tmp_path):
     names = {r["article_id"]: r["part_name"] for r in rs.current(spark, lake, "articles").collect()}
     assert names == {1: "a1", 2: "b2", 3: "c2"}                     # newest round wins
     assert rs.current(spark, lake, "compatible_cars").count() == 2  # children replaced, not duplicated
+
+
+def test_materialised_catalogue_is_reused(spark):
+    """A second Catalog over unchanged inputs reads the tables the first one published."""
+    from catalog_lake.binding import Catalog
+    from catalog_lake.session import checkpoint_dir
+    from tests.conftest import SF_SMALL
+    a = Catalog(spark, SF_SMALL)
+    n = a.compatible_cars.count()
+    base = f"{checkpoint_dir(spark).rstrip('/')}/catalog-{a._fingerprint()}"
+    assert os.path.exists(os.path.join(base.replace("file:", ""), "compatible_cars", "_SUCCESS"))
+    before = sorted(os.listdir(base.replace("file:", "")))
+    b = Catalog(spark, SF_SMALL)
+    assert b._fingerprint() == a._fingerprint() and b.compatible_cars.count() == n
+    assert sorted(os.listdir(base.replace("file:", ""))) == before        # nothing rewritten
+    assert not [d for d in before if d.startswith("_tmp-")]                 # no half-published table
+    lazy = Catalog(spark, SF_SMALL, materialize=False).compatible_cars
+    assert lazy.count() == n
