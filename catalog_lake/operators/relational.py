@@ -186,4 +186,3 @@ def first_seen(df: DataFrame, pk: str, order_col: str) -> DataFrame:
     return df.groupBy(pk).agg(F.min(order_col).alias("first_" + order_col))
 
 
-__all__ = [n for n in dir() if not n.startswith("_")]

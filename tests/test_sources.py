@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from catalog_lake.sources import files as fl
 from catalog_lake.sources import rounds as rs
