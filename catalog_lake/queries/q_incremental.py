@@ -51,3 +51,16 @@ def i7(t):
     df.write.format("noop").mode("overwrite").save()
     m = obs.get
     return t.spark.createDataFrame([(int(m["records"]), int(m["missing_key"]))], "records long, missing_key long")
+
+
+@register("i5_dedup_within_watermark", "SELECT DISTINCT user_id FROM events")
+def i5w(t):
+    """Event-time variant of I5: the stream keeps one record per user within a 1-hour watermark
+    (state is dropped once the watermark passes), run as one availableNow batch."""
+    spark = t.spark
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    t.table("events").select("user_id", "ts", "event_type").write.json(f"{base}/landing")
+    stream = spark.readStream.schema("user_id BIGINT, ts TIMESTAMP, event_type STRING").json(f"{base}/landing")
+    inc.run_to_table(inc.dedup_stream(stream, "user_id", event_time="ts", delay="1 hour"),
+                     f"{base}/dedup", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/dedup").select("user_id")
