@@ -78,11 +78,13 @@ def q6_first(t):
 
 @register("q8_car_type_specs", """
 SELECT ct.car_type_id, ct.type_label, ct.engine_code, ct.fuel_type, ct.year_from, ct.year_to,
-       ctd.car_type_title, ctd.construction_interval, ctd.details AS technical_specs
+       ctd.car_type_title, ctd.construction_interval, CAST(to_json(ctd.details) AS VARCHAR) AS technical_specs
 FROM car_types ct LEFT JOIN car_type_details ctd USING (car_type_id)""",
           ("car_types", "car_type_details"))
 def q8(t):
-    return nav.car_type_specs(t)
+    """Specs served as JSON text (as the reference's API returns them)."""
+    from pyspark.sql import functions as F
+    return nav.car_type_specs(t).withColumn("technical_specs", F.to_json("technical_specs"))
 
 
 @register("q10_compatible_cars_page", """
