@@ -69,6 +69,33 @@ cleaned as (
   from {source} s left join l_doc using (rid))"""
 
 
+def hits_ctes(source: str, window: int = 13) -> str:
+    """CTEs up to ``contaminated`` (rid, n_words, n_hit, n_items, items) over ``source`` (rid, text) and benchmark."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""
+c_items as (select item_id, {words} as ws from benchmark),
+c_win as (
+  select distinct item_id, k, array_to_string(ws[s:s + k - 1], ' ') as win
+  from (select *, unnest(generate_series(1, len(ws) - k + 1)) as s
+        from (select *, least({window}, len(ws)) as k from c_items where len(ws) > 0))),
+c_docs as (select rid, {words} as ws from {source}),
+c_occ as (
+  select rid, s, k, array_to_string(ws[s:s + k - 1], ' ') as win
+  from (select rid, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as s
+        from c_docs, (select distinct k from c_win) where len(ws) >= k)),
+c_found as (select rid, s, k, item_id from c_occ join c_win using (k, win)),
+c_hit as (
+  select rid, count(distinct p) as n_hit from (select distinct rid, unnest(generate_series(s, s + k - 1)) as p from c_found)
+  group by rid),
+c_ids as (
+  select rid, count(*) as n_items, string_agg(i, ',' order by i) as items
+  from (select distinct rid, cast(item_id as varchar) as i from c_found) group by rid),
+contaminated as (
+  select rid, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, coalesce(items, '') as items
+  from c_docs left join c_hit using (rid) left join c_ids using (rid))"""
+
+
 DOCS = "docs as (select row_number() over () as rid, * from documents)"
 
 ORACLES = {
@@ -76,4 +103,7 @@ ORACLES = {
     "op3_quality_rules": f"""with {DOCS}, {quality_ctes('docs')}
 select doc_id, n_words, cast(word_chars as bigint) as word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
 from judged join docs using (rid)""",
+    "op10_benchmark_decontamination": f"""with {DOCS}, {hits_ctes('docs')}
+select doc_id, n_words, n_hit, n_items, sha256(items) as items_sha256, n_hit > 0 and 20 * n_hit >= n_words as contaminated
+from contaminated join docs using (rid)""",
 }

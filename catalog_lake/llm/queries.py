@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_lake.llm import line_dedup, quality
+from catalog_lake.llm import decontaminate, line_dedup, packing, quality, simhash, suffix_dedup, token_counts
 from catalog_lake.llm.common import table
 
 
@@ -22,4 +23,43 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality_rules)}
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that also start in a document with a smaller id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, length=50).withColumnRenamed("doc", "doc_id")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy longest-match pieces of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return out.withColumnRenamed("doc", "doc_id")
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document: 3-word shingles, links at 3 or fewer differing bits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=3, max_bits=3).select(
+        F.col("doc").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in windows of 1024 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("doc", "doc_id")
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a benchmark window of 13 words, and whose."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    out = decontaminate.contamination(docs, bench)
+    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return out.select(F.col("doc").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(ids, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_packing, op3_quality_rules, op4_suffix_array_dedup, op6_token_counts, op8_simhash_near_dedup,
+    op10_benchmark_decontamination)}
