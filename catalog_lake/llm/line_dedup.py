@@ -9,26 +9,25 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog_lake.llm.common import BLANK_CLASS, text_key
+from catalog_lake.llm.common import BLANKS, cut, text_key
 
 MIN_SITES = 10
 LG_K = 12
 
 
-def _key(line: Column) -> Column:
-    """The hash of a line without the blanks around it; null for a blank line."""
-    trimmed = F.regexp_replace(line, rf"^{BLANK_CLASS}+|{BLANK_CLASS}+$", "")
-    return F.when(F.length(trimmed) > 0, text_key(trimmed))
+def line_table(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
+    """(doc, th, site, place, key) of every line with a word, cut to the shared folder.
 
-
-def _lines(docs: DataFrame, doc: str, text: str, site: str | None) -> DataFrame:
-    """(doc, text hash, place, line hash, site) of every line with a word."""
-    cols = [F.col(doc).alias("doc"), text_key(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("place", "line")]
-    return docs.select(*cols, *([F.col(site).cast("string").alias("site")] if site else [])) \
-        .withColumn("key", _key(F.col("line"))).drop("line").where("key is not null")
+    The texts are split and hashed once; the key is the hash of the line without the
+    blanks around it, so nothing that follows reads a text again.
+    """
+    lines = docs.select(F.col(doc).alias("doc"), text_key(text).alias("th"), F.col(site).cast("string").alias("site"),
+                        F.posexplode(F.split(text, "\n")).alias("place", "line"))
+    trimmed = F.trim(F.col("line"), F.lit(BLANKS))
+    return cut(lines.where(F.length(trimmed) > 0).select("doc", "th", "site", "place", text_key(trimmed).alias("key")))
 
 
 def sketch_error(min_sites: int, lg_k: int) -> float:
@@ -36,15 +35,13 @@ def sketch_error(min_sites: int, lg_k: int) -> float:
     return max(2.0, 6 * 1.04 / math.sqrt(2 ** lg_k) * min_sites)
 
 
-def boilerplate(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source",
-                min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
-    """(key, first_doc) of the lines found on at least ``min_sites`` distinct sites.
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
+    """(key, first_doc) of the lines of a ``line_table`` found on at least ``min_sites`` distinct sites.
 
     A sketch's estimate outside the band decides; inside it the line's distinct sites are
     counted exactly.  Rows without a site count for no site.
     """
     band = sketch_error(min_sites, lg_k)
-    lines = _lines(docs, doc, text, site)
     spread = lines.groupBy("key").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"), F.min("doc").alias("first_doc"))
     sure = spread.where(F.col("sites") > min_sites + band).select("key", "first_doc")
@@ -66,8 +63,8 @@ def remove_boilerplate(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     out one for one; repeated rows are treated alike, and a row without an id is never
     the first.  Only places of removed lines are joined back, not lines.
     """
-    found = boilerplate(docs, doc, text, site, min_sites, lg_k)
-    hits = _lines(docs, doc, text, None).join(found, "key") \
+    lines = line_table(docs, doc, text, site)
+    hits = lines.drop("site").join(boilerplate(lines, min_sites, lg_k), "key") \
         .where(F.col("doc").isNull() | F.col("first_doc").isNull() | (F.col("doc") > F.col("first_doc"))) \
         .groupBy("doc", "th").agg(F.collect_set("place").alias("gone"))
     left = docs.select(F.struct("*").alias("row")).select(
