@@ -18,18 +18,16 @@ Texts are shuffled once, compressed, and each distinct text is looked at once.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_lake.llm.common import cut, text_key
+from catalog_lake.llm.repeats import code_of, distinct_texts, identify, persist_in_place, repeated, unpack
 
 LENGTH = 50
 GRAM = 16
@@ -98,104 +96,17 @@ def multikey_sort(words: list[np.ndarray]) -> np.ndarray:
     return rank
 
 
-def _identify(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, v, ta, tb): the distinct texts by their smallest id; ``v`` tells texts with one id apart."""
-    th = text_key(text)
-    reps = docs.where(F.col(doc).isNotNull()).select(F.col(doc).alias("doc"), th["a"].alias("ta"), th["b"].alias("tb")) \
-        .groupBy("ta", "tb").agg(F.min("doc").alias("doc"))
-    return reps.withColumn("v", F.row_number().over(Window.partitionBy("doc").orderBy("ta", "tb")) - 1)
-
-
-def _texts(docs: DataFrame, reps: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, v, z): each distinct text once, compressed, partitioned by document."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=3)
-        for b in batches:
-            packed = pa.array([z.compress((t.as_py() or "").encode()) for t in b.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("ta"), b.column("tb"), packed], ["doc", "ta", "tb", "z"])
-
-    th = text_key(text)
-    rows = docs.where(F.col(doc).isNotNull()).select(
-        F.col(doc).cast("long").alias("doc"), th["a"].alias("ta"), th["b"].alias("tb"), F.col(text).alias("text"))
-    rows = rows.mapInArrow(pack, "doc bigint, ta bigint, tb bigint, z binary")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = rows.repartition(n, "doc").join(reps.withColumnRenamed("ta", "ra").withColumnRenamed("tb", "rb"), "doc")
-    same = spread.where((F.col("ta") == F.col("ra")) & (F.col("tb") == F.col("rb")))
-    return same.select("doc", "v", "z").dropDuplicates(["doc", "v"])
-
-
-def _unpack(z: pa.Array) -> Iterator[bytes]:
-    un = zstandard.ZstdDecompressor()
-    return (un.decompress(x.as_py()) for x in z)
-
-
-def _repeated(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc, codes): the minimizers of every document that another document has too.
-
-    A hash is cut to 32 bits within one of 2^b buckets; a chance match costs some work
-    later and no error.  Per Arrow batch and bucket one row holds the hashes and, delta
-    coded, the documents.
-    """
-    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(1, (4 * n - 1).bit_length())
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            doc_ids = b.column("doc").to_numpy(zero_copy_only=False)
-            hs, ds = [], []
-            for d, t in zip(doc_ids, _unpack(b.column("z")), strict=True):
-                h = np.unique(stretches(t, length, gram)[2])
-                hs.append(h)
-                ds.append(np.full(len(h), d, np.int64))
-            h, d = np.concatenate(hs), np.concatenate(ds)
-            bucket = (h >> _U(64 - bits)).astype(np.int64)
-            order = np.lexsort((d, bucket))
-            h, d, bucket = h[order], d[order], bucket[order]
-            cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-            rows = [(k, h[i:j].astype(np.uint32).tobytes(), z.compress(np.diff(d[i:j], prepend=0).tobytes()))
-                    for k, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if i < j]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)],
-                    ["bucket", "h", "d"])
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        un = zstandard.ZstdDecompressor()
-        of: dict[int, list[tuple[bytes, bytes]]] = defaultdict(list)
-        for b in batches:
-            for k, h, d in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                of[k].append((h, d))
-        for k in sorted(of):
-            parts = of.pop(k)
-            h = np.concatenate([np.frombuffer(x, np.uint32) for x, _ in parts])
-            d = np.concatenate([np.cumsum(np.frombuffer(un.decompress(x), np.int64)) for _, x in parts])
-            order = np.argsort(h, kind="stable")
-            h, d = h[order], d[order]
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            many = np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first)
-            many = np.repeat(many, np.diff(np.append(first, len(h))))
-            yield pa.RecordBatch.from_arrays([pa.array(d[many]), pa.array((k << 32) | h[many].astype(np.int64))], ["doc", "code"])
-
-    met = texts.mapInArrow(emit, "bucket bigint, h binary, d binary").repartition(n, "bucket") \
-        .mapInArrow(meet, "doc bigint, code bigint")
-    return met.groupBy("doc").agg(F.collect_list("code").alias("codes"), F.lit(bits).alias("bits"))
-
-
-def _suffixes(texts: DataFrame, repeated: DataFrame, length: int, gram: int) -> DataFrame:
+def _suffixes(texts: DataFrame, repeats: DataFrame, length: int, gram: int) -> DataFrame:
     """(w1, w2, doc, v, start, s): stretches of repeated minimizers with the first bytes of the minimizer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [[] for _ in range(6)]
             cols = [b.column(c).to_pylist() for c in ("doc", "v", "bits")]
-            for d, v, bits, codes, t in zip(*cols, b.column("codes"), _unpack(b.column("z")), strict=True):
+            for d, v, bits, codes, t in zip(*cols, b.column("codes"), unpack(b.column("z")), strict=True):
                 first, end, low, grams = stretches(t, length, gram)
                 if not len(first):
                     continue
-                code = ((low >> _U(64 - bits)).astype(np.int64) << 32) | (low & _U(0xFFFFFFFF)).astype(np.int64)
-                hit = np.isin(code, codes.values.to_numpy())
+                hit = np.isin(code_of(low, bits), codes.values.to_numpy())
                 first, end, low = first[hit], end[hit], low[hit]
                 if not len(first):
                     continue
@@ -214,7 +125,7 @@ def _suffixes(texts: DataFrame, repeated: DataFrame, length: int, gram: int) ->
                 yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in out[:5]], pa.array(out[5], pa.binary())],
                                                  ["w1", "w2", "doc", "v", "start", "s"])
 
-    return texts.join(repeated, "doc").mapInArrow(run, "w1 bigint, w2 bigint, doc bigint, v int, start int, s binary")
+    return texts.join(repeats, "doc").mapInArrow(run, "w1 bigint, w2 bigint, doc bigint, v int, start int, s binary")
 
 
 def _windows(s: list[bytes], rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,12 +193,6 @@ def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                 to = len(todo)
             row, place, raw = _windows(s, todo[at:to], length)
             at = to
-            if ends:
-                texts = [raw[i, :length].tobytes() for i in range(len(raw))]
-                yield spans(row, place, place + length,
-                            np.array([xxhash.xxh3_64_intdigest(x) for x in texts], np.uint64).view(np.int64),
-                            np.array([xxhash.xxh64_intdigest(x) for x in texts], np.uint64).view(np.int64))
-                continue
             words = raw.view(">u8").astype(np.uint64)
             rank = multikey_sort([words[:, i] for i in range(words.shape[1])])
             by = np.lexsort((doc[row], rank))
@@ -295,6 +200,11 @@ def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             low = doc[row][by][head][np.cumsum(head) - 1]
             found = np.zeros(len(row), bool)
             found[by] = doc[row][by] > low
+            if ends:  # the bucket's smallest document of each string: a smaller one may be in the next bucket
+                texts = [x.tobytes() for x in raw[~found, :length]]
+                yield spans(row[~found], place[~found], place[~found] + length,
+                            np.array([xxhash.xxh3_64_intdigest(x) for x in texts], np.uint64).view(np.int64),
+                            np.array([xxhash.xxh64_intdigest(x) for x in texts], np.uint64).view(np.int64))
             row, place = row[found], place[found]
             if len(row):  # neighbouring strings of one stretch become one span
                 begin = np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])
@@ -306,9 +216,9 @@ def _removed(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.
     for batch in batches:
         out = []
         for d, v, found, t in zip(batch.column("doc").to_pylist(), batch.column("v").to_pylist(), batch.column("spans").to_pylist(),
-                                  _unpack(batch.column("z")), strict=True):
+                                  unpack(batch.column("z")), strict=True):
             merged: list[list[int]] = []
-            for x in sorted((x["start"], x["end"]) for x in found):
+            for x in sorted((x["start"], x["end"]) for x in found if x["v"] == v):
                 if merged and x[0] <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], x[1])
                 else:
@@ -335,23 +245,23 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", len
     any.  ``length`` must be at least 16 bytes.  Ids are integers.
     """
     gram = min(GRAM, length)
-    reps = cut(_identify(docs, doc, text))
-    texts = _texts(docs, reps.select("doc", "v", "ta", "tb"), doc, text).persist()
-    repeated = cut(_repeated(texts, length, gram))
+    reps = cut(identify(docs, doc, text))
+    texts = persist_in_place(distinct_texts(docs, reps.select("doc", "v", "ta", "tb"), doc, text))
+    repeats = cut(repeated(texts, lambda t: stretches(t, length, gram)[2]))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = cut(_suffixes(texts, repeated, length, gram).repartitionByRange(n, "w1", "w2", "doc")
+    found = cut(_suffixes(texts, repeats, length, gram).repartitionByRange(n, "w1", "w2", "doc")
                 .mapInArrow(lambda it: _compare(it, length), "doc bigint, v int, start int, end int, a bigint, b bigint"))
     here = found.where("a is null").select("doc", "v", "start", "end")
     ends = found.where("a is not null")
     low = ends.groupBy("a", "b").agg(F.min("doc").alias("low"))
     across = ends.join(low, ["a", "b"]).where(F.col("doc") > F.col("low")).select("doc", "v", "start", "end")
-    spans = here.unionAll(across).groupBy("doc", "v").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    gone = cut(texts.join(spans, ["doc", "v"]).mapInArrow(
+    spans = here.unionAll(across).groupBy("doc").agg(F.collect_list(F.struct("v", "start", "end")).alias("spans"))
+    gone = cut(texts.join(spans, "doc").mapInArrow(
         lambda it: _removed(it, with_text),
         "doc bigint, v int, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text))
     texts.unpersist()
     # Back to rows: the first row of a text has its result; later copies of it lose everything.
-    of_text = reps.join(gone, ["doc", "v"], "left").withColumnRenamed("doc", "rep").drop("v")
+    of_text = reps.join(gone, ["doc", "v"], "left").withColumnRenamed("doc", "rep").drop("v", "n")
     th, t = text_key("text"), F.coalesce(F.col("text"), F.lit(""))
     raw = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
     rows = raw.select("doc", th["a"].alias("ta"), th["b"].alias("tb"), F.octet_length(t).cast("long").alias("n_bytes"),
