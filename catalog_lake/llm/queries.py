@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_lake.llm import decontaminate, line_dedup, packing, quality, simhash, suffix_dedup, token_counts
+from catalog_lake.llm import (
+    decontaminate, html_extract, line_dedup, packing, quality, simhash, substring_dedup, suffix_dedup, token_counts, toxicity)
 from catalog_lake.llm.common import table
 
 
@@ -29,6 +30,14 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs, length=50).withColumnRenamed("doc", "doc_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of low quality and, given that, of toxicity for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain, _ = toxicity.fit_chain(docs, labels, ("low_quality", "toxic"))
+    return toxicity.predict_chain(docs, chain).select("doc_id", "p_low_quality", "p_toxic", toxicity.flagged("toxic").alias("toxic"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy longest-match pieces of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,6 +45,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("doc", "doc_id")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    trees = html_extract.fit(html_extract.training_rows(pages))
+    return html_extract.extract(pages, trees).withColumnRenamed("page", "page_id")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document: 3-word shingles, links at 3 or fewer differing bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,6 +66,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("doc", "doc_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document over passages of 50 words that are near-duplicates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.near_duplicate_passages(docs)[0].withColumnRenamed("doc", "doc_id")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a benchmark window of 13 words, and whose."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,5 +83,5 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_packing, op3_quality_rules, op4_suffix_array_dedup, op6_token_counts, op8_simhash_near_dedup,
-    op10_benchmark_decontamination)}
+    op1_line_dedup, op2_packing, op3_quality_rules, op4_suffix_array_dedup, op5_toxicity, op6_token_counts, op7_html_extraction,
+    op8_simhash_near_dedup, op9_substring_dedup, op10_benchmark_decontamination)}
