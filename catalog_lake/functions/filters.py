@@ -96,14 +96,11 @@ def all_of(*conds: Column | None) -> Column:
 
 
 def malformed_first(json_list: Column | str, keys: Sequence[str]) -> Column:
-    """a non-empty JSON list whose first element lacks one of ``keys``."""
+    """a non-empty JSON list whose first element lacks one of ``keys``; a key with a null value is there."""
     j = _c(json_list)
     nonempty = j.isNotNull() & (j != "[]")
-    lacks = None
-    for k in keys:
-        miss = F.get_json_object(j, f"$[0].{k}").isNull()
-        lacks = miss if lacks is None else lacks | miss
-    return nonempty & lacks
+    has = F.json_object_keys(F.get_json_object(j, "$[0]"))
+    return nonempty & ~F.coalesce(F.size(F.array_intersect(has, F.array(*map(F.lit, keys)))) == len(set(keys)), F.lit(False))
 
 
 def invalid_range(year_from: Column | str, year_to: Column | str) -> Column:

@@ -114,9 +114,18 @@ def labelled_date(c: Column | str, label: str) -> Column:
 
 
 def to_int(c: Column | str) -> Column:
-    """Lenient integer, null on failure."""
+    """Lenient integer, null on failure; a fractional *number* (not text) loses its fraction."""
     col = _c(c)
-    return F.trim(col.cast("string")).try_cast("bigint")
+    fractional = F.typeof(col).isin("double", "float") | F.typeof(col).startswith("decimal")
+    whole = col.try_cast("double").try_cast("bigint")
+    return F.coalesce(F.trim(col.cast("string")).try_cast("bigint"), F.when(fractional, whole))
+
+
+def json_number_to_int(c: Column | str) -> Column:
+    """D8 for a JSON number read as text: ``1.0`` and ``12.7`` are numbers and give 1 and 12."""
+    col = F.trim(_c(c))
+    number = col.rlike(r"^[+-]?[0-9]+\.[0-9]+([eE][+-]?[0-9]+)?$|^[+-]?[0-9]+[eE][+-]?[0-9]+$")
+    return F.coalesce(to_int(col), F.when(number, col.try_cast("double").try_cast("bigint")))
 
 
 # -- D9 .. D13, D24, D26: null discipline, lists, json -------------------

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,16 +66,17 @@ def build_postings(articles: DataFrame, details: DataFrame | None = None) -> Dat
 # -- query parsing (driver side, the query string only) ---------------------------
 @dataclass
 class WebQuery:
-    groups: list[list[list[str]]] = field(default_factory=list)  # AND of OR of phrases (token lists)
-    exclude: list[list[str]] = field(default_factory=list)
+    """Alternatives (``or``), each a conjunction of (excluded, phrase); a phrase is a token list."""
+
+    alternatives: list[list[tuple[bool, list[str]]]] = field(default_factory=list)
 
     @property
     def positive_tokens(self) -> list[str]:
-        return sorted({t for g in self.groups for p in g for t in p})
+        return sorted({t for alt in self.alternatives for excluded, p in alt if not excluded for t in p})
 
     @property
     def all_tokens(self) -> list[str]:
-        return sorted(set(self.positive_tokens) | {t for p in self.exclude for t in p})
+        return sorted({t for alt in self.alternatives for _, p in alt for t in p})
 
 
 def _split_tokens(text: str) -> list[str]:
@@ -82,38 +84,17 @@ def _split_tokens(text: str) -> list[str]:
 
 
 def parse_web_query(q: str) -> WebQuery:
-    """Websearch syntax -> AND of OR-groups of phrases, plus exclusions."""
-    items: list[tuple[str, list[str]]] = []  # (kind, tokens) kind in {'item', 'or', 'not'}
+    """Websearch syntax: words AND-ed, ``"phrase"``, ``-word``; ``or`` binds weaker than AND."""
+    alternatives: list[list[tuple[bool, list[str]]]] = [[]]
     for m in re.finditer(r'(-?)"([^"]*)"?|(\S+)', q or ""):
-        if m.group(2) is not None:
-            toks = _split_tokens(m.group(2))
-            if toks:
-                items.append(("not" if m.group(1) else "item", toks))
-            continue
         word = m.group(3)
-        if word.lower() == "or":
-            items.append(("or", []))
-            continue
-        neg = word.startswith("-") and len(word) > 1
-        toks = _split_tokens(word[1:] if neg else word)
-        if toks:
-            items.append(("not" if neg else "item", toks))
-    wq = WebQuery()
-    pending_or = False
-    for kind, toks in items:
-        if kind == "or":
-            pending_or = bool(wq.groups)
-            continue
-        if kind == "not":
-            wq.exclude.append(toks)
-            pending_or = False
+        if word is not None and word.lower() == "or":
+            alternatives.append([])
             continue
-        if pending_or:
-            wq.groups[-1].append(toks)
-        else:
-            wq.groups.append([toks])
-        pending_or = False
-    return wq
+        excluded = bool(m.group(1)) if word is None else word.startswith("-") and len(word) > 1
+        if toks := _split_tokens(m.group(2) if word is None else word):
+            alternatives[-1].append((excluded, toks))
+    return WebQuery([alt for alt in alternatives if alt])
 
 
 # -- matching and ranking --------------------------------------------------------
@@ -131,19 +112,15 @@ def match(postings: DataFrame, q: str | WebQuery, universe: DataFrame) -> DataFr
     wq = parse_web_query(q) if isinstance(q, str) else q
     hits = postings.filter(F.col("token").isin(wq.all_tokens)).select("token", "article_id", "field", "pos")
     ids = universe.select("article_id")
-    if wq.groups:
-        cur = None
-        for grp in wq.groups:
-            alt = None
-            for phrase in grp:
-                s = _phrase_hits(hits, phrase)
-                alt = s if alt is None else alt.unionByName(s)
-            alt = alt.distinct()
-            cur = alt if cur is None else cur.join(alt, "article_id", "left_semi")
-        ids = ids.join(cur, "article_id", "left_semi")
-    for phrase in wq.exclude:
-        ids = ids.join(_phrase_hits(hits, phrase), "article_id", "left_anti")
-    return ids
+    found = []
+    for alt in wq.alternatives:
+        cur = ids
+        for excluded, phrase in sorted(alt, key=lambda x: x[0]):
+            cur = cur.join(_phrase_hits(hits, phrase), "article_id", "left_anti" if excluded else "left_semi")
+        found.append(cur)
+    if not found:  # no word to look for matches nothing
+        return ids.limit(0)
+    return found[0] if len(found) == 1 else reduce(DataFrame.unionAll, found).distinct()
 
 
 def rank(postings: DataFrame, q: str | WebQuery) -> DataFrame:
@@ -168,7 +145,7 @@ def keyword_search(articles: DataFrame, postings: DataFrame, q: str, limit: int
 
 
 def car_filter(compat: DataFrame, make: str | None = None, model: str | None = None,
-               year: str | int | None = None, year_mode: str = "text") -> DataFrame | None:
+               year: str | int | None = None, year_mode: str = "year") -> DataFrame | None:
     """The compat side of S4: make/model contains (ILIKE) and year overlap; None if no condition."""
     from catalog_lake.functions.filters import all_of, year_overlap
     if not (make or model or year):
@@ -181,7 +158,7 @@ def car_filter(compat: DataFrame, make: str | None = None, model: str | None = N
 
 def search(articles: DataFrame, postings: DataFrame, compat: DataFrame, q: str = "", make: str | None = None,
            model: str | None = None, year: str | int | None = None, is_oem: bool | None = None,
-           page: int = 1, limit: int = 20, year_mode: str = "text") -> tuple[DataFrame, DataFrame]:
+           page: int = 1, limit: int = 20, year_mode: str = "year") -> tuple[DataFrame, DataFrame]:
     """Faceted search -> (page of results, one-row total).
 
     Only the supplied filters apply (F14); filters run before ranking; with

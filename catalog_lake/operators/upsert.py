@@ -27,24 +27,20 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str],
            order: Sequence[Column | str] | None = None) -> DataFrame:
     """K1: incoming rows replace all non-key columns of existing keys; new keys are added.
 
-    One shuffle: target and source are unioned with a side tag and one row
-    per key survives — a source row if the key is in the batch (the first by
-    ``order``; default every non-key column, a deterministic survivor, W7),
-    else the target row.  Spark cuts each key to one row per map task before
-    the shuffle (window group limit), so a hot key does not skew the reducer.
-    Source rows with a null key are dropped (F13); the target is a keyed
-    table (unique, non-null keys).
+    The batch is cut to one row per key (the first by ``order``; default every
+    non-key column, a deterministic survivor, W7; a hot key is cut map-side by
+    the window group limit) and the target keeps the rows whose key is not in it.
+    A small batch is broadcast by AQE, and the target then stays where it is:
+    no shuffle, no sort.  Source rows with a null key are dropped (F13); target
+    rows are never collapsed.
     """
     keys = _keys(pk)
     cols = target.columns
     ordering = list(order) if order is not None else [c for c in source.columns if c not in keys]
     ordering = [F.col(c) if isinstance(c, str) else c for c in ordering]
     not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    tagged = (source.filter(not_null).select(*cols).withColumn("_side", F.lit(0))
-              .unionByName(target.withColumn("_side", F.lit(1))))
-    # Within the source the caller's order decides; target rows only compete with themselves.
-    order_cols = [F.col("_side")] + [F.when(F.col("_side") == 0, c) for c in ordering]
-    return keep_one(tagged, keys, order_cols).drop("_side")
+    new = keep_one(source.filter(not_null).select(*cols), keys, ordering)
+    return target.join(new.select(*keys), keys, "left_anti").select(*cols).unionByName(new)
 
 
 def insert_missing(target: DataFrame, source: DataFrame, pk: str | Sequence[str]) -> DataFrame:
@@ -67,9 +63,13 @@ def explode_compat(details: DataFrame, array_col: str = "compatible_cars") -> Da
     return e.select("article_id", *cols)
 
 
-def replace_children(children: DataFrame, incoming: DataFrame, fk: str) -> DataFrame:
-    """K4: drop every child of the incoming parents, then add the incoming children."""
-    parents = incoming.select(fk).distinct()
+def replace_children(children: DataFrame, incoming: DataFrame, fk: str, parents: DataFrame | None = None) -> DataFrame:
+    """K4: drop every child of the loaded parents, then add the incoming children.
+
+    ``parents`` lists the loaded parents' keys, so one that comes with no children loses
+    its old ones; without it, the parents are those of the incoming children.
+    """
+    parents = (incoming if parents is None else parents).select(fk).distinct()
     return children.join(parents, fk, "left_anti").unionByName(incoming.select(*children.columns))
 
 

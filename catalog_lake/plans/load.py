@@ -21,18 +21,20 @@ from catalog_lake.sources.schemas import PRIMARY_KEYS
 PROVENANCE = ["entity_type", "crawl_date", "round_no", "_file", "_row"]
 
 
-def _incoming(spark: SparkSession, rounds_root: str, entity: str, policy: str) -> DataFrame | None:
+def _incoming(spark: SparkSession, rounds_root: str, entity: str, policy: str) -> tuple[DataFrame, tuple[int, int]] | None:
+    """The newest record per key, and what it leaves out: files without a row, records without a key."""
     if not rs._exists(spark, f"{rounds_root.rstrip('/')}/entity_type={entity}"):
         return None
     r = rs.read_rounds(spark, rounds_root, entity)
     pk = PRIMARY_KEYS[entity]
+    lost = (rs.skipped_files(spark, rounds_root, entity, r).count(), r.filter(F.col(pk).isNull()).count())
     r = r.filter(F.col(pk).isNotNull())
-    return rs.dedup_rounds(r, pk, policy).drop(*[c for c in PROVENANCE if c in r.columns])
+    return rs.dedup_rounds(r, pk, policy).drop(*[c for c in PROVENANCE if c in r.columns]), lost
 
 
 def _publish(spark: SparkSession, df: DataFrame, lake_root: str, entity: str, pk: str | tuple) -> int:
     keys = (pk,) if isinstance(pk, str) else pk
-    path = rs.write_snapshot(df, lake_root, entity, keys[0])
+    path = rs.write_snapshot(df, lake_root, entity, keys)
     rs.publish(spark, path)
     return spark.read.parquet(path).count()
 
@@ -40,14 +42,16 @@ def _publish(spark: SparkSession, df: DataFrame, lake_root: str, entity: str, pk
 def load_rounds(spark: SparkSession, rounds_root: str, lake_root: str, policy: str = "newest") -> DataFrame:
     """Load every entity found under ``rounds_root`` into the snapshots under ``lake_root``.
 
-    Returns (entity, status, rows, skipped) per entity.
+    Returns (entity, status, rows, skipped, skipped_files, keyless) per entity: details
+    whose article is missing, files that gave no row, and records without a key.
     """
     out = []
     for entity in rs.LOAD_ORDER:
-        inc = _incoming(spark, rounds_root, entity, policy)
-        if inc is None:
-            out.append((entity, "missing", 0, 0))
+        found = _incoming(spark, rounds_root, entity, policy)
+        if found is None:
+            out.append((entity, "missing", 0, 0, 0, 0))
             continue
+        inc, lost = found
         pk = PRIMARY_KEYS[entity]
         skipped = 0
         if entity == "article_details":
@@ -58,11 +62,11 @@ def load_rounds(spark: SparkSession, rounds_root: str, lake_root: str, policy: s
         cur = rs.current(spark, lake_root, entity)
         new = inc if cur is None else upsert(cur, inc.select(*cur.columns), pk)
         rows = _publish(spark, new, lake_root, entity, pk)
-        out.append((entity, "loaded", rows, skipped))
+        out.append((entity, "loaded", rows, skipped, *lost))
         if entity == "article_details" and "compatible_cars" in inc.columns:
             children = explode_compat(inc)
             old = rs.current(spark, lake_root, "compatible_cars")
-            merged = children if old is None else replace_children(old, children, "article_id")
+            merged = children if old is None else replace_children(old, children, "article_id", inc)
             out.append(("compatible_cars", "loaded",
-                        _publish(spark, merged, lake_root, "compatible_cars", ("article_id", "car_type_id")), 0))
-    return spark.createDataFrame(out, "entity string, status string, rows long, skipped long")
+                        _publish(spark, merged, lake_root, "compatible_cars", ("article_id", "car_type_id")), 0, 0, 0))
+    return spark.createDataFrame(out, "entity string, status string, rows long, skipped long, skipped_files long, keyless long")

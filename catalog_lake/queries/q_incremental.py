@@ -1,11 +1,10 @@
 """Incremental planning and streaming I1, I2, I4, I5, I7."""
 
-import uuid
 
 from pyspark.sql import functions as F
 
 from catalog_lake.queries.registry import register
-from catalog_lake.session import checkpoint_dir
+from catalog_lake.session import scratch
 from catalog_lake.streaming import incremental as inc
 
 _SEEN = """(SELECT url FROM (SELECT url, arg_max(status_code, (timestamp, event_id)) AS s
@@ -32,7 +31,7 @@ def i4(t):
     """Round records land as JSON; an availableNow stream converts them to Parquet rounds
     (I4) and a second stream keeps the first record per key (I5)."""
     spark = t.spark
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     t.rounds.write.json(f"{base}/landing")
     schema = "pk BIGINT, round_label STRING, crawl_date STRING, row_pos BIGINT, event_type STRING, value DOUBLE"
     inc.ingest_stream(spark, f"{base}/landing", f"{base}/rounds", f"{base}/ckpt-ingest", schema, "events",
@@ -55,12 +54,14 @@ def i7(t):
 
 @register("i5_dedup_within_watermark", "SELECT DISTINCT user_id FROM events")
 def i5w(t):
-    """Event-time variant of I5: the stream keeps one record per user within a 1-hour watermark
-    (state is dropped once the watermark passes), run as one availableNow batch."""
+    """Event-time variant of I5: one record per user.  The delay is longer than the table's events
+    are out of order, so no record is late and the answer is the same however many micro-batches
+    the files make (here one file each)."""
     spark = t.spark
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    t.table("events").select("user_id", "ts", "event_type").write.json(f"{base}/landing")
-    stream = spark.readStream.schema("user_id BIGINT, ts TIMESTAMP, event_type STRING").json(f"{base}/landing")
-    inc.run_to_table(inc.dedup_stream(stream, "user_id", event_time="ts", delay="1 hour"),
+    base = scratch(spark, "stream")
+    t.table("events").select("user_id", "ts", "event_type").repartition(3).write.json(f"{base}/landing")
+    stream = spark.readStream.schema("user_id BIGINT, ts TIMESTAMP, event_type STRING") \
+        .option("maxFilesPerTrigger", 1).json(f"{base}/landing")
+    inc.run_to_table(inc.dedup_stream(stream, "user_id", event_time="ts", delay="400 days"),
                      f"{base}/dedup", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/dedup").select("user_id")

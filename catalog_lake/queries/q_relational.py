@@ -139,6 +139,14 @@ def k4(t):
     return up.replace_children(c, inc_rows, "article_id")
 
 
+@register("k4_parents_without_children", """
+SELECT * FROM compatible_cars c WHERE c.article_id % 5 <> 0""", (C,))
+def k4_parents(t):
+    """Loaded parents whose new list is empty lose their old children."""
+    c = t.compatible_cars
+    return up.replace_children(c, c.limit(0), "article_id", t.articles.filter(F.col("article_id") % 5 == 0))
+
+
 @register("k3_explode_compat", """
 SELECT article_id, car_type_id, model_series_id, manufacturer_name, model_name, engine_or_variant,
        year_from, year_to, '' AS extra_qualifier FROM compatible_cars
@@ -287,10 +295,9 @@ FROM rounds GROUP BY pk""", ("rounds",))
 def a5(t):
     """Rounds written Hive-partitioned (entity_type=/crawl_date=), read back recursively with
     file provenance, newest round kept per key."""
-    import uuid
-    from catalog_lake.session import checkpoint_dir
+    from catalog_lake.session import scratch
     from catalog_lake.sources import rounds as rs
-    base = f"{checkpoint_dir(t.spark).rstrip('/')}/rounds-{uuid.uuid4().hex}"
+    base = scratch(t.spark, "rounds")
     (t.rounds.select("pk", "round_label", "row_pos", "event_type")
      .withColumn("entity_type", F.lit("events")).withColumn("crawl_date", F.col("round_label"))
      .write.partitionBy("entity_type", "crawl_date").option("compression", "zstd").parquet(base))

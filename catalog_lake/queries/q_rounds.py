@@ -1 +1,54 @@
-"""Registrations (filled in as operators land)."""
+"""Sources and sinks A1-A15 as round trips: write the bound tables, read them back, compare with the view."""
+
+from pyspark.sql import functions as F
+
+from catalog_lake.queries.registry import register
+from catalog_lake.session import scratch
+from catalog_lake.sources import rounds as rs
+
+A = ("articles",)
+_COLS = ["article_id", "part_name", "part_number", "article_manufacturer"]
+_SELECT = "SELECT article_id, part_name, part_number, article_manufacturer FROM articles"
+
+
+@register("a1_a2_d8_read_json_ids", _SELECT, A)
+def a1(t):
+    """Ids written as numbers, as numbers with a fraction part, and as quoted text all read as the same id."""
+    base = scratch(t.spark, "json")
+    rows = t.articles.select(*_COLS)
+    kinds = {"bigint": 0, "double": 1, "string": 2}
+    for kind, k in kinds.items():
+        rs.append_entity(rows.filter(F.col("article_id") % 3 == k).withColumn("article_id", F.col("article_id").cast(kind)),
+                         base, "articles")
+    return rs.read_entity(t.spark, f"{base}/articles", "articles").select(*_COLS)
+
+
+@register("a5_a7_rewritten_round", _SELECT, A)
+def a5_a7(t):
+    """A round that is written twice, in small files, holds each record once."""
+    base = scratch(t.spark, "rounds")
+    for _ in range(2):
+        rs.write_round(t.articles.select(*_COLS), base, "articles", "r1", max_records=1000)
+    rs.write_round(t.articles.select(*_COLS).limit(0), base, "articles", "r2")
+    return rs.read_rounds(t.spark, base, "articles").select(*_COLS)
+
+
+@register("a6_a9_convert_with_bad_lines", f"""
+SELECT 'articles' AS entity, 'converted' AS status, count(*) AS "rows",
+       count(*) FILTER (WHERE article_id % 7 = 0) AS bad_lines FROM ({_SELECT}) a""", A)
+def a6(t):
+    """Conversion counts the lines that are no JSON and keeps the others."""
+    base = scratch(t.spark, "store")
+    rs.append_entity(t.articles.select(*_COLS), f"{base}/in", "articles")
+    t.articles.filter(F.col("article_id") % 7 == 0).select(F.concat(F.lit("{cut off "), "part_name").alias("value")) \
+        .write.mode("append").text(f"{base}/in/articles")
+    return rs.convert_all(t.spark, f"{base}/in", f"{base}/out", "2026-01-01", entities=["articles"])
+
+
+@register("a8_a13_a14_snapshot_published", _SELECT, A)
+def a8(t):
+    """Two versions of a snapshot; the published one is read back."""
+    base = scratch(t.spark, "lake")
+    rs.publish(t.spark, rs.write_snapshot(t.articles.select(*_COLS).filter("article_id % 2 = 0"), base, "articles"))
+    rs.publish(t.spark, rs.write_snapshot(t.articles.select(*_COLS), base, "articles"))
+    return rs.current(t.spark, base, "articles")

@@ -24,10 +24,9 @@ def _phrase_sql(tokens: list[str]) -> str:
 
 
 def match_sql(q: str, universe: str = "articles") -> str:
-    wq = sx.parse_web_query(q)
-    conds = [f"article_id IN ({' UNION '.join(_phrase_sql(p) for p in g)})" for g in wq.groups]
-    conds += [f"article_id NOT IN ({_phrase_sql(p)})" for p in wq.exclude]
-    return f"SELECT article_id FROM {universe} WHERE {' AND '.join(conds) or 'true'}"
+    alts = [" AND ".join(f"article_id {'NOT ' * excluded}IN ({_phrase_sql(p)})" for excluded, p in alt)
+            for alt in sx.parse_web_query(q).alternatives]
+    return f"SELECT article_id FROM {universe} WHERE {' OR '.join(f'({a})' for a in alts) or 'false'}"
 
 
 def rank_sql(q: str) -> str:
@@ -62,6 +61,24 @@ def _reg_match(key: str, q: str) -> None:
 for _k, _v in _MATCHES.items():
     _reg_match(_k, _v)
 
+# Grammar checks whose SQL is written by hand, without the parser.
+_HAS = "article_id IN (SELECT article_id FROM postings WHERE token = '{}')"
+_GRAMMAR = {
+    "s2_or_binds_weaker": ("red plate or ring", f"({_HAS.format('red')} AND {_HAS.format('plate')}) OR {_HAS.format('ring')}"),
+    "s2_or_not": ("widget or -red", f"{_HAS.format('widget')} OR NOT {_HAS.format('red')}"),
+    "s2_no_word": ("!!!", "false"),
+}
+
+
+def _reg_grammar(key: str, q: str, where: str) -> None:
+    @register(key, f"SELECT article_id FROM articles WHERE {where}", V)
+    def _f(t):
+        return sx.match(_postings(t), q, t.articles)
+
+
+for _k, (_v, _w) in _GRAMMAR.items():
+    _reg_grammar(_k, _v, _w)
+
 
 @register("s3_rank", f"""
 SELECT m.article_id, round(coalesce(r.relevance, 0.0), 6) AS relevance
@@ -101,8 +118,8 @@ def q7c(t):
 
 _Q9_FILTER = """a.is_oem = true AND a.article_id IN (
     SELECT DISTINCT article_id FROM compatible_cars
-    WHERE manufacturer_name ILIKE '%nation_2%' AND (year_from = '' OR year_from <= '1998')
-      AND (year_to = '' OR year_to >= '1998'))"""
+    WHERE manufacturer_name ILIKE '%nation_2%' AND (year_from = '' OR CAST(substr(year_from, 1, 4) AS INT) <= 1998)
+      AND (year_to = '' OR CAST(substr(year_to, 1, 4) AS INT) >= 1998))"""
 _Q9_COLS = "a.article_id, a.part_name, a.part_number, a.article_manufacturer, a.group_name, a.is_oem, " \
            "a.thumbnail_url, a.details_url"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +91,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master if is_classic(spark) else ""
+        if is_classic(spark) and not master.startswith("local[") and master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="catalog-lake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not is_classic(spark):
@@ -100,10 +104,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{abs(hash(name)) % 10**8}"
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, removed when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if is_classic(spark):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
 
 
 _SHIPPED: set[str] = set()

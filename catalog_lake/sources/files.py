@@ -15,13 +15,10 @@ def read_allowlist(spark: SparkSession, path: str) -> DataFrame:
     """Allowlist names, one per line; blank and ``#`` lines skipped.
 
     Decoding: UTF-8 (a byte-order mark is dropped); a file that is not valid
-    UTF-8 is read as Latin-1.  The file is read whole by ``binaryFile`` — it
-    is a hand-kept list (tens of lines), and its size is checked before use.
+    UTF-8 is read as Latin-1.  The file is read whole by ``binaryFile`` — its
+    encoding is a property of the whole file, and it is a hand-kept list.
     """
-    raw = spark.read.format("binaryFile").load(path).select("path", "content", "length")
-    too_big = raw.filter(F.col("length") > 64 * 1024 * 1024).limit(1).count()
-    if too_big:
-        raise ValueError("allowlist file larger than 64 MiB; split it or load it as a table")
+    raw = spark.read.format("binaryFile").load(path).select("path", "content")
     text = F.when(F.expr("is_valid_utf8(CAST(content AS STRING))"), F.decode("content", "UTF-8")) \
         .otherwise(F.decode("content", "ISO-8859-1"))
     text = F.regexp_replace(text, r"^\x{FEFF}", "")

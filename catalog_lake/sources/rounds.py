@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog_lake.functions.text import partition_label, round_number, to_int
+from catalog_lake.functions.text import json_number_to_int, partition_label, round_number
 from catalog_lake.sources.schemas import ENTITIES, PRIMARY_KEYS, SCHEMAS
 
 MAX_RECORDS_PER_FILE = 1000
@@ -47,7 +47,7 @@ def read_entity(spark: SparkSession, path: str, entity: str | None = None, infer
     text_fields = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, ints) else f.dataType, True)
                    for f in target.fields]
     raw = r.schema(T.StructType(text_fields + [T.StructField(corrupt_col, T.StringType(), True)])).json(path)
-    cols = [to_int(F.col(f.name)).cast(f.dataType).alias(f.name) if isinstance(f.dataType, ints)
+    cols = [json_number_to_int(F.col(f.name)).try_cast(f.dataType).alias(f.name) if isinstance(f.dataType, ints)
             else F.col(f.name) for f in target.fields]
     return raw.select(*cols, corrupt_col)
 
@@ -64,16 +64,16 @@ def sample_raw(df: DataFrame, n: int = 20, cols: Sequence[str] | None = None) ->
 
 # -- A5, A6, A7: rounds --------------------------------------------------------------
 def write_round(df: DataFrame, root: str, entity: str, crawl_date: str | None = None,
-                max_records: int | None = None, mode: str = "append") -> str:
+                max_records: int | None = None, mode: str = "overwrite") -> str:
     """Write one crawl round as ZSTD Parquet under ``entity_type=/crawl_date=``.
 
     ``max_records`` caps rows per output file (the reference's 1000-record
-    chunks) without any manual chunking.  With dynamic partition overwrite,
-    re-running a round replaces only that round's partition.
+    chunks) without any manual chunking.  Re-running a round replaces that
+    round's partition and no other (dynamic partition overwrite).
     """
     day = crawl_date or dt.date.today().isoformat()
     w = (df.withColumn("entity_type", F.lit(entity)).withColumn("crawl_date", F.lit(day))
-         .write.mode(mode).option("compression", "zstd"))
+         .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd"))
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.partitionBy("entity_type", "crawl_date").parquet(root)
@@ -83,7 +83,8 @@ def write_round(df: DataFrame, root: str, entity: str, crawl_date: str | None =
 def convert_all(spark: SparkSession, src: str, dst: str, crawl_date: str | None = None,
                 entities: Sequence[str] = ENTITIES, max_records: int | None = None) -> DataFrame:
     """Convert each entity's JSONL store into a round; a missing input is skipped and
-    a failing entity does not stop the others.  Returns (entity, status, rows).
+    a failing entity does not stop the others.  Lines that are no JSON are counted and
+    kept under ``_bad/``.  Returns (entity, status, rows, bad_lines), rows of this round.
 
     One independent Spark job per entity (seven jobs, not a loop over data).
     """
@@ -91,17 +92,24 @@ def convert_all(spark: SparkSession, src: str, dst: str, crawl_date: str | None
     for e in entities:
         path = f"{src.rstrip('/')}/{e}"
         if not _exists(spark, path):
-            out.append((e, "missing", 0))
+            out.append((e, "missing", 0, 0))
             continue
         try:
             df = read_entity(spark, path, e)
-            df = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-            write_round(df, dst, e, crawl_date, max_records)
-            n = spark.read.parquet(f"{dst.rstrip('/')}/entity_type={e}").count()
-            out.append((e, "converted", n))
+            good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+            written = write_round(good, dst, e, crawl_date, max_records)
+            # Spark does not read the corrupt column alone from JSON files: parse the bare lines for it.
+            check = T.StructType([T.StructField("_corrupt_record", T.StringType())])
+            lines = spark.read.text(path).filter(F.trim("value") != "")
+            options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+            bad = lines.filter(F.from_json("value", check, options)["_corrupt_record"].isNotNull())
+            bad_path = f"{dst.rstrip('/')}/_bad/{written.rsplit('/', 2)[1]}/{written.rsplit('/', 1)[1]}"
+            bad.write.mode("overwrite").text(bad_path)
+            n = spark.read.parquet(written).count() if _exists(spark, written) else 0
+            out.append((e, "converted", n, spark.read.text(bad_path).count()))
         except Exception as exc:  # noqa: BLE001 - one entity's failure is reported, not raised
-            out.append((e, f"failed: {type(exc).__name__}", 0))
-    return spark.createDataFrame(out, "entity string, status string, rows long")
+            out.append((e, f"failed: {type(exc).__name__}", 0, 0))
+    return spark.createDataFrame(out, "entity string, status string, rows long, bad_lines long")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -168,7 +176,7 @@ def dedup_rounds(rounds: DataFrame, pk: str, policy: str = "newest") -> DataFram
 
 
 # -- A8, A13, A14: snapshots and publishing ------------------------------------------
-def write_snapshot(df: DataFrame, root: str, entity: str, pk: str | None = None,
+def write_snapshot(df: DataFrame, root: str, entity: str, pk: str | Sequence[str] | None = None,
                    num_files: int | None = None) -> str:
     """One row per key, written range-partitioned and sorted by key into a new version.
 
@@ -177,11 +185,12 @@ def write_snapshot(df: DataFrame, root: str, entity: str, pk: str | None = None,
     Returns the version path; ``publish`` makes it current.
     """
     key = pk or PRIMARY_KEYS[entity]
+    keys = [key] if isinstance(key, str) else list(key)
     base = f"{root.rstrip('/')}/snapshots/{entity}"
     version = _next_version(df.sparkSession, base)
     path = f"{base}/v={version}"
-    out = df.repartitionByRange(num_files, key) if num_files else df.repartitionByRange(key)
-    out.sortWithinPartitions(key).write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    out = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+    out.sortWithinPartitions(*keys).write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return path
 
 
@@ -200,7 +209,11 @@ def _next_version(spark: SparkSession, base: str) -> int:
 
 
 def publish(spark: SparkSession, version_path: str) -> None:
-    """Make a written version current by rewriting the small pointer file."""
+    """Make a written version current by replacing the small pointer file.
+
+    The new pointer is written in full beside the old one and renamed over it in one
+    step, so a crash leaves the old pointer or the new one, never none.
+    """
     base = version_path.rsplit("/", 1)[0]
     fs, _, jvm = _fs(spark, base)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{base}/_CURRENT.tmp")
@@ -208,9 +221,11 @@ def publish(spark: SparkSession, version_path: str) -> None:
     out.write(bytearray(version_path.encode("utf-8")))
     out.close()
     cur = jvm.org.apache.hadoop.fs.Path(f"{base}/_CURRENT")
-    if fs.exists(cur):
-        fs.delete(cur, False)
-    fs.rename(tmp, cur)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(context.makeQualified(tmp), context.makeQualified(cur), options)
 
 
 def current(spark: SparkSession, root: str, entity: str) -> DataFrame | None:

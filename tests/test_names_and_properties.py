@@ -103,9 +103,9 @@ def test_scalar_edge_cases(spark):
 
 def test_web_query_parser():
     q = sx.parse_web_query('filtre "huile moteur" or bosch -diesel PN-12')
-    assert q.groups == [[["filtre"]], [["huile", "moteur"], ["bosch"]], [["pn", "12"]]]
-    assert q.exclude == [["diesel"]]
-    assert sx.parse_web_query("").groups == []
+    assert q.alternatives == [[(False, ["filtre"]), (False, ["huile", "moteur"])],
+                              [(False, ["bosch"]), (True, ["diesel"]), (False, ["pn", "12"])]]
+    assert sx.parse_web_query("").alternatives == sx.parse_web_query("or !!! or").alternatives == []
 
 
 def test_sort_text_collation(spark):
