@@ -129,5 +129,11 @@ def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows that the rules keep, with their own columns."""
-    return apply_rules(docs, text, rules).where("kept").select("row.*")
+    """The rows that the rules keep, with their own columns.
+
+    Spark would push a plain filter on ``kept`` below the projections and repeat the
+    splitting and counting for each mention of their columns.  It does not move a filter
+    past a projection with a row number in it, so every text is measured once.
+    """
+    measured_once = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    return apply_rules(docs, text, rules).select("row", measured_once.alias("kept")).where("kept").select("row.*")
