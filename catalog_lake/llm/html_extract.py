@@ -52,6 +52,7 @@ BOILER_TAGS = frozenset("nav header footer aside form button dialog menu fieldse
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KINDS = ("p", "div", "section", "article", "main", "ul", "ol", "li", "table", "tr", "td", "th", "a", "span", "b", "strong", "em",
          "blockquote", "pre", "figure", "body", "html")
+KIND = {t: i + 1 for i, t in enumerate(KINDS)}
 MARK = "\ue000"  # stands before article text in training pages only
 
 
@@ -146,63 +147,58 @@ FEATURES = ("kind", "boiler_tag", "heading", "inline", "against", "for", "hidden
 
 def features(page: Page) -> np.ndarray:
     """One row of ``FEATURES`` per element."""
-    n = len(page.tag)
-    own = {k: np.zeros(n) for k in ("chars", "link", "words", "stops", "blocks", "links", "forms", "headings", "against", "for", "p")}
-    parent, tag = page.parent, page.tag
+    n, parent, tag = len(page.tag), page.parent, page.tag
+    zero = lambda: [0] * n
     in_link = [False] * n
-    above = np.zeros((n, 4))
-    steps = np.full((n, 2), 9.0)
-    depth = np.zeros(n)
-    flags = np.zeros((n, 6))
-    order = np.zeros(n)
-    kids, same = np.zeros(n), {}
+    boiler, heading, inline, against, good, article = zero(), zero(), zero(), zero(), zero(), zero()
+    above = [(0, 0, 0, 0)] * n
+    near_bad, near_good, depth, kids, same = [9] * n, [9] * n, zero(), zero(), {}
     for v in range(1, n):
-        u, t = parent[v], tag[v]
+        u, t, words = parent[v], tag[v], page.words[v]
         in_link[v] = in_link[u] or t == "a"
-        a, f = bool(page.words[v] & AGAINST), bool(page.words[v] & FOR)
-        flags[v] = (t in BOILER_TAGS, t in HEADINGS, t in INLINE, a, f, page.hidden[v])
+        boiler[v], heading[v], inline[v] = t in BOILER_TAGS, t in HEADINGS, t in INLINE
+        article[v] = t in ("article", "main")
+        if words:
+            against[v], good[v] = not words.isdisjoint(AGAINST), not words.isdisjoint(FOR)
         depth[v] = depth[u] + 1
-        above[v] = above[u]
-        above[v] += (flags[u][0], tag[u] in ("article", "main"), flags[u][3], flags[u][4])
-        steps[v] = np.minimum(steps[u] + 1, 9)
-        if a or flags[v][0]:
-            steps[v][0] = 0
-        if f or t in ("article", "main"):
-            steps[v][1] = 0
-        own["links"][v], own["headings"][v], own["p"][v] = t == "a", t in HEADINGS, t == "p"
-        own["forms"][v] = t in ("form", "button", "label", "input")
-        own["against"][v], own["for"][v] = a or flags[v][0], f
+        w = above[u]
+        above[v] = (w[0] or boiler[u], w[1] or article[u], w[2] or against[u], w[3] or good[u])
+        near_bad[v] = 0 if against[v] or boiler[v] else min(near_bad[u] + 1, 9)
+        near_good[v] = 0 if good[v] or article[v] else min(near_good[u] + 1, 9)
         kids[u] += 1
         same[u, t] = same.get((u, t), 0) + 1
-    total, seen = 0, set()
+    chars, link, words_in, stops, blocks = zero(), zero(), zero(), zero(), zero()
+    seen = set()
     for v, text in page.pieces:
         if text is None:
             seen.discard(v)
             continue
-        m = len(text.replace(MARK, "").strip())
-        if m:
-            own["chars"][v] += m
-            own["link"][v] += m * in_link[v]
-            own["words"][v] += len(text.split())
-            own["stops"][v] += sum(text.count(c) for c in ".,;:!?")
-            own["blocks"][v] += v not in seen
-            seen.add(v)
-            total += m
-    below = {k: x.copy() for k, x in own.items()}
+        text = text.replace(MARK, "").strip()
+        if text:
+            chars[v] += len(text)
+            link[v] += len(text) * in_link[v]
+            words_in[v] += text.count(" ") + 1
+            stops[v] += sum(map(text.count, ".,;:!?"))
+            if v not in seen:
+                blocks[v] += 1
+                seen.add(v)
+    links = [t == "a" for t in tag]
+    forms = [t in ("form", "button", "label", "input") for t in tag]
+    paragraphs = [t == "p" for t in tag]
+    bad = [x or y for x, y in zip(against, boiler, strict=True)]
+    below = np.array([chars, link, words_in, stops, blocks, links, forms, heading, bad, good, paragraphs], float).T
+    rows = below.tolist()
     for v in range(n - 1, 0, -1):
-        for x in below.values():
-            x[parent[v]] += x[v]
-    order = np.arange(n) / n
-    chars, p = below["chars"], np.array(parent)
-    safe = np.maximum(chars, 1)
-    kind = np.array([KINDS.index(t) + 1 if t in KINDS else 0 for t in tag])
+        rows[parent[v]] = [x + y for x, y in zip(rows[parent[v]], rows[v], strict=True)]
+    chars, link, words_in, stops, blocks, links, forms, heads, bad, good_below, paragraphs = np.array(rows).T
+    up, safe = np.array(parent), np.maximum(chars, 1)
+    near = np.array(above, float)
     return np.stack([
-        kind, flags[:, 0], flags[:, 1], flags[:, 2], flags[:, 3], flags[:, 4], flags[:, 5], above[:, 0] > 0, above[:, 1] > 0,
-        above[:, 2] > 0, above[:, 3] > 0, steps[:, 0], steps[:, 1], depth, np.log1p(chars), chars / max(total, 1),
-        below["words"] / np.maximum(below["blocks"], 1), np.log1p(below["links"]), below["link"] / safe,
-        100 * below["stops"] / safe, np.log1p(below["blocks"]), below["forms"], kids[p],
-        np.array([same.get((parent[v], tag[v]), 1) for v in range(n)]), order, chars / np.maximum(chars[p], 1),
-        below["headings"], np.log1p(below["against"]), np.log1p(below["for"]), np.log1p(below["p"])], axis=1).astype(float)
+        [KIND.get(t, 0) for t in tag], boiler, heading, inline, against, good, page.hidden, near[:, 0], near[:, 1], near[:, 2],
+        near[:, 3], near_bad, near_good, depth, np.log1p(chars), chars / max(chars[0], 1), words_in / np.maximum(blocks, 1),
+        np.log1p(links), link / safe, 100 * stops / safe, np.log1p(blocks), forms, np.array(kids)[up],
+        [same.get((u, t), 1) for u, t in zip(parent, tag, strict=True)], np.arange(n) / n, chars / np.maximum(chars[up], 1),
+        heads, np.log1p(bad), np.log1p(good_below), np.log1p(paragraphs)], axis=1).astype(float)
 
 
 def decode(page: Page, probability: np.ndarray) -> np.ndarray:
@@ -437,9 +433,11 @@ def extract(pages: DataFrame, trees: Trees, page: str = "page_id", html: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = []
-            for t in b.column("html"):
-                dom = Page(t.as_py() or "")
-                texts.append(main_text(dom, decode(dom, trees.probability(features(dom)))))
+            for at in range(0, b.num_rows, 128):  # so many pages are scored together
+                doms = [Page(t.as_py() or "") for t in b.column("html")[at:at + 128]]
+                rows = [features(dom) for dom in doms]
+                p = np.split(trees.probability(np.concatenate(rows)), np.cumsum([len(x) for x in rows])[:-1])
+                texts += [main_text(dom, decode(dom, x)) for dom, x in zip(doms, p, strict=True)]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kinds], pa.array(texts, pa.string())], [*kinds, "text"])
 
     rows = pages.select(F.col(page).alias("page"), *keep, F.col(html).alias("html"))
