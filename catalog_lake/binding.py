@@ -28,6 +28,8 @@ discovered links          customer
 from __future__ import annotations
 
 import hashlib
+import importlib
+import inspect
 import threading
 import uuid
 from functools import cached_property
@@ -62,6 +64,8 @@ _LOCKS_GUARD = threading.Lock()
 # reference's load step), then read column-pruned by every query.
 # Layout keys are composite/high-cardinality so a hot article (a third of
 # all compat rows) still spreads over many range partitions.
+#: Modules that build the materialised tables.
+BUILDERS = ("catalog_lake.binding", "catalog_lake.operators.search", "catalog_lake.functions.text")
 MATERIALISED = {"articles": ("article_id",), "compatible_cars": ("article_id", "car_type_id"),
                 "postings": ("token", "article_id")}
 
@@ -89,7 +93,7 @@ class Catalog:
         ship_code(spark)
 
     def _fingerprint(self) -> str:
-        """Identity of the inputs: every input file's path, size and modification time.
+        """Identity of the inputs: every input file's path, size and modification time, and the building code.
 
         Tables materialised from unchanged inputs are reused by later
         applications sharing the checkpoint folder; changed inputs get new ones.
@@ -97,7 +101,8 @@ class Catalog:
         if getattr(self, "_fp", None) is None:
             jvm = self.spark.sparkContext._jvm
             conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            parts = [self.sf_dir]
+            # The code that builds the tables is part of their identity.
+            parts = [self.sf_dir, *[inspect.getsource(importlib.import_module(m)) for m in BUILDERS]]
             for t in TABLES:
                 p = jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{t}.parquet")
                 fs = p.getFileSystem(conf)
