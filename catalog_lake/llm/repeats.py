@@ -45,13 +45,15 @@ def distinct_texts(docs: DataFrame, reps: DataFrame, doc: str, text: str) -> Dat
 
 def persist_in_place(df: DataFrame) -> DataFrame:
     """Persist with the partitioning kept, so that later joins need not shuffle the texts again."""
-    conf, key = df.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-    before = conf.get(key)
-    conf.set(key, "false")
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k) for k in ("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "spark.sql.adaptive.enabled")}
+    for k in before:
+        conf.set(k, "false")
     try:
         return df.persist()
     finally:
-        conf.set(key, before)
+        for k, v in before.items():
+            conf.set(k, v)
 
 
 def unpack(z: pa.Array) -> Iterator[bytes]:
