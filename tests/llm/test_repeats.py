@@ -107,3 +107,44 @@ def test_planted_passages_are_linked_and_clean_documents_left(spark, make_docs,
     assert (span["to_a"] - span["from_a"], span["similarity"]) == (60, 1.0)
     empty, _ = substring_dedup.near_duplicate_passages(docs.limit(0))
     assert empty.count() == 0
+
+
+def _say(rnd, n):
+    return ["".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 5))) for _ in range(n)]
+
+
+def _similar(a, b, words=50, similarity=0.8):
+    """Some passages of so many words of the two texts are similar: all against all, over sets of five-word tuples."""
+    def windows(w):
+        s = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+        return [set(s[i:i + words - 4]) for i in range(len(s) - words + 5)]
+    return any(len(x & y) >= similarity * len(x | y) for x in windows(a) for y in windows(b))
+
+
+def _linked(texts):
+    """(class, number of links) of every text by all its pairs."""
+    with_link = {(i, j) for i in texts for j in texts if i < j and _similar(texts[i], texts[j])}
+    root = {i: i for i in texts}
+    for _ in texts:
+        for i, j in sorted(with_link):
+            root[i] = root[j] = min(root[i], root[j])
+    return {i: (root[i], sum(i in p for p in with_link)) for i in texts}
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_signature_of_many_documents_links_them_all(spark, make_docs, monkeypatch, block):
+    """A passage in 40 documents, and versions that drift from one to the next, against all pairs."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rnd = random.Random(6)
+    shared, version = _say(rnd, 80), _say(rnd, 80)
+    verbatim = {i: _say(rnd, 10 + i % 7) + shared + _say(rnd, 12) for i in range(40)}
+    drift = {}
+    for i in range(100, 109):  # each version ends a dozen words later, and has lost as many at the start
+        drift[i] = list(version)
+        version = version[12:] + _say(rnd, 12)
+    out, links = substring_dedup.near_duplicate_passages(make_docs([(i, " ".join(w)) for i, w in {**verbatim, **drift}.items()]))
+    got = {r["doc"]: (r["class_id"], r["n_links"], r["n_words"]) for r in out.collect()}
+    assert all(got[i] == (0, 39, 80) for i in verbatim)
+    want = _linked(drift)
+    assert {i: got[i][:2] for i in drift} == want and len({n for _, n in want.values()}) > 1
+    assert links.where("a < 100").select("a", "b").distinct().count() == 40 * 39 // 2
