@@ -148,3 +148,34 @@ def test_signature_of_many_documents_links_them_all(spark, make_docs, monkeypatc
     want = _linked(drift)
     assert {i: got[i][:2] for i in drift} == want and len({n for _, n in want.values()}) > 1
     assert links.where("a < 100").select("a", "b").distinct().count() == 40 * 39 // 2
+
+
+def test_short_passages_with_one_edit_at_every_place():
+    """Every similar passage of 50 words is found, wherever its edit is, against all pairs of ranges."""
+    rnd = random.Random(12)
+    hashes = lambda w: substring_dedup.shingles(" ".join(w).encode())
+    cases = [(n, at) for n in (50, 55, 60) for at in range(n)] + [(n, None) for n in (43, 44, 45, 46, 49, 50)]
+    seen = set()
+    for n, at in cases:
+        passage = _say(rnd, n)
+        edited = [f"{w}x" if i == at else w for i, w in enumerate(passage)]
+        a, b = _say(rnd, 30) + passage + _say(rnd, 25), _say(rnd, 9) + edited + _say(rnd, 40)
+        found = substring_dedup.passages(hashes(a), hashes(b), 46, 0.8)
+        assert bool(found) == _similar(a, b), (n, at)
+        seen.add(bool(found))
+        for p, q, r, s, similarity in found:
+            x, y = set(hashes(a)[p:q].tolist()), set(hashes(b)[r:s].tolist())
+            assert q - p >= 46 and s - r >= 46 and similarity == len(x & y) / len(x | y) >= 0.8
+    assert seen == {True, False}
+
+
+def test_short_passages_of_few_words():
+    """Shingles that come again, and moved parts: what all pairs of ranges show is found."""
+    rnd = random.Random(13)
+    for _ in range(60):
+        part = [rnd.choice("ab") for _ in range(60)] if rnd.random() < 0.5 else _say(rnd, 60)
+        cut = rnd.randrange(60)
+        other = part[cut:] + part[:cut] if rnd.random() < 0.5 else [w for i, w in enumerate(part) if i % rnd.randint(20, 40)]
+        a, b = _say(rnd, rnd.randint(0, 20)) + part, other + _say(rnd, rnd.randint(0, 20))
+        xa, xb = (substring_dedup.shingles(" ".join(w).encode()) for w in (a, b))
+        assert bool(substring_dedup.passages(xa, xb, 46, 0.8)) >= _similar(a, b)
