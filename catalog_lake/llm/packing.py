@@ -40,11 +40,15 @@ class Encoder:
     A byte-level BPE with GPT-2's pattern is also read by tiktoken, several times as fast
     and with the same ids; it takes the texts in ASCII and the Latin blocks.  All other
     texts, and all texts of another kind of tokenizer, go to the tokenizers library.
+
+    With ``as_loaded`` the string of a special token in a text gets that token's id, as the
+    library does it unasked; without, it is ordinary text.  Texts that hold the string of a
+    token with an id of its own go to the tokenizers library.
     """
 
     PROBE = "It's 1,000 días;\n\n  où  «naïve» façade\t— übermäßig groß... it'll do!\r\n \u00a0x<|endoftext|> "
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, as_loaded: bool = False):
         import json
 
         import public_tokenizers
@@ -52,16 +56,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not as_loaded
         self.fast = None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {t["content"] for t in spec.get("added_tokens", ())}
+        self.whole = [t["content"] for t in spec.get("added_tokens", ()) if as_loaded or not t["special"]]
         marks = _bytes_of_marks()
         if spec["model"]["type"] == "BPE" and (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not spec.get("normalizer"):
             ranks = {bytes(marks[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
             fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            if fast.encode_ordinary(self.PROBE) == self._slow(self.PROBE).tolist():
+            probe = self.PROBE
+            for t in self.whole:
+                probe = probe.replace(t, "")
+            if fast.encode_ordinary(probe) == self._slow(probe).tolist():
                 self.fast = fast
 
     def _slow(self, text: str) -> np.ndarray:
@@ -69,16 +77,16 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the text."""
-        if self.fast and (text.isascii() or max(text) < COMMON):
+        if self.fast and (text.isascii() or max(text) < COMMON) and not any(t in text for t in self.whole):
             return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), "<u4").tobytes()
         return self._slow(text).tobytes()
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, as_loaded: bool = False) -> Encoder:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path)
+    return Encoder(path, as_loaded)
 
 
 class SumOfSquares:
@@ -145,14 +153,15 @@ def sequences(docs: Iterator[tuple[object, bytes]], window: int) -> Iterator[lis
 
 
 def pack(docs: DataFrame, tokenizer_path: str, doc: str = "doc_id", text: str = "text", window: int = WINDOW,
-         end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+         end_id: int = END_ID, with_ids: bool = False, as_loaded: bool = False) -> DataFrame:
     """One row per piece: doc, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked, ids.
 
     Every document, repeated ones too, is its ids and then ``end_id``; a null or empty text
     is that id alone.  Each id lies in exactly one piece.  Sequences have ``window`` ids,
     but for the at most log2(window) last ones of a task, which are powers of two.
     Sequence ids are the task's number and a count, so a task that runs again gives the
-    same rows.  ``doc`` may be null or repeat.  An empty table gives no rows.
+    same rows.  ``doc`` may be null or repeat.  An empty table gives no rows.  ``as_loaded``
+    is the encoder's.
     """
     doc_type = docs.schema[doc].dataType
     arrow_type = to_arrow_type(doc_type)
@@ -161,7 +170,7 @@ def pack(docs: DataFrame, tokenizer_path: str, doc: str = "doc_id", text: str =
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, base = encoder(tokenizer_path), TaskContext.get().partitionId() << 40
+        enc, base = encoder(tokenizer_path, as_loaded), TaskContext.get().partitionId() << 40
 
         def tokenised() -> Iterator[tuple[object, bytes]]:
             for b in batches:

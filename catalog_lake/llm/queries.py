@@ -63,7 +63,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in windows of 1024 ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("doc", "doc_id")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), as_loaded=True).withColumnRenamed("doc", "doc_id")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

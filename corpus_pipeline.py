@@ -46,7 +46,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in windows of 1024 ids."""
     prepare(spark)
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("doc", "doc_id")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), as_loaded=True).withColumnRenamed("doc", "doc_id")
 
 
 STAGES = [

@@ -74,3 +74,27 @@ def test_level_minimises_the_sum_of_squares():
             n[h + size] += h + size < 16
             costs[h] = int((n[1:16] ** 2).sum())
         assert costs[levels.level(size)] == min(costs.values())
+
+
+MARKED = ["<|endoftext|> is text", "a <|endoftext|>b<|endoftext|>", "é <|endoftext|>", "<|endoftex|>", "<|ENDOFTEXT|>", PROSE * 30 + "<|endoftext|>"]
+
+
+def test_queries_give_the_ids_of_the_tokenizer_as_loaded(spark, make_docs, tmp_path):
+    import corpus_pipeline
+    from catalog_lake.llm import queries
+    t = Tokenizer.from_file(PATH)
+    texts = [*TEXTS, *MARKED]
+    want = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x in enumerate(texts)}
+    assert want[8] == [50256, 318, 2420, 0]
+    enc = packing.encoder(PATH, as_loaded=True)
+    assert enc.fast is not None
+    for i, x in enumerate(texts):
+        assert np.frombuffer(enc.ids(x or ""), "<u4").tolist() == want[i][:-1]
+    docs = make_docs(list(enumerate(texts)))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for out in (queries.op2_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        rows = out.collect()
+        assert {r["doc_id"] for r in rows} == set(want)
+        for r in rows:
+            ids = np.array(want[r["doc_id"]][r["start"]:r["start"] + r["length"]], "<u4")
+            assert (r["doc_tokens"], r["ids_crc32"]) == (len(want[r["doc_id"]]), zlib.crc32(ids.tobytes()))
