@@ -29,12 +29,18 @@ TRAINING_PAGES, LAYOUTS = 300, 3
 
 # Elements by their role in the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video head title "
-                    "select textarea datalist".split())
+SKIPPED = frozenset("script style noscript template svg iframe object canvas audio video head title "
+                    "select textarea datalist annotation annotation-xml".split())
+HEAD_CONTENT = frozenset("base basefont bgsound link meta title script style noscript template noframes head".split())
+#: Formulas are text of the element that they stand in; cells and rows of a matrix are set apart.
+MATH = frozenset("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+                 "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 "
                      "h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+#: Elements whose start ends a skipped element that is never closed.
+BLOCKS = CLOSES_P | frozenset("body li dt dd tr td th tbody thead tfoot".split())
 CLOSED_BY_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
                   "th": ("tr", "table"), "option": ("select",)}
 
@@ -57,16 +63,31 @@ MARK = "\ue000"  # stands before article text in training pages only
 
 
 class Page(HTMLParser):
-    """The elements of a page in order: tag, attribute words, parent and pieces of text."""
+    """The elements of a page in order: tag, attribute words, parent and pieces of text.
+
+    Skipped elements go up to their end tag.  Those that have none (their parent ends
+    before, or the page) end at the next block or their parent's end tag; the page is then
+    read again.  A head ends where something begins that cannot be in a head.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
+        self.unclosed: set[int] = set()  # skipped elements without an end tag, by their number on the page
+        known = -1
+        while known < len(self.unclosed):
+            known = len(self.unclosed)
+            self._read(html)
+
+    def _read(self, html: str) -> None:
+        self.reset()
         self.tag, self.parent, self.words, self.hidden = ["#page"], [0], [frozenset()], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (element, text), or None where a block begins or ends
         self.stack = [0]
-        self.skip = 0
+        self.skipped: list[tuple[str, int]] = []  # the skipped element and what is open in it: tag, number or -1
+        self.n_skipped = 0
         self.feed(html)
         self.close()
+        self._give_up(0)
 
     def _open(self, tag: str, attrs: list) -> None:
         words, hidden = set(), False
@@ -82,6 +103,25 @@ class Page(HTMLParser):
         self.hidden.append(hidden)
         self.stack.append(len(self.tag) - 1)
 
+    def _give_up(self, depth: int) -> None:
+        """End what is open in the skipped element from ``depth`` on, without end tags."""
+        self.unclosed.update(n for tag, n in self.skipped[depth:] if n >= 0 and tag != "head")
+        del self.skipped[depth:]
+
+    def _skip(self, tag: str) -> bool:
+        """Whether a start tag is, or is in, a skipped element."""
+        if self.skipped:
+            if self.skipped[-1][0] == "head" and tag not in HEAD_CONTENT:
+                self.skipped.pop()
+            elif tag in BLOCKS and all(n < 0 or t == "head" or n in self.unclosed for t, n in self.skipped):
+                self.skipped.clear()
+        if not self.skipped and tag not in SKIPPED:
+            return False
+        if tag not in VOID:
+            self.skipped.append((tag, self.n_skipped if tag in SKIPPED else -1))
+            self.n_skipped += tag in SKIPPED
+        return True
+
     def _pop_to(self, depth: int) -> None:
         while len(self.stack) > depth:
             e = self.stack.pop()
@@ -99,10 +139,11 @@ class Page(HTMLParser):
         return 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.skip or tag in SKIPPED:
-            if tag in SKIPPED and tag not in VOID:
-                self.skip += 1
-                self.skipped = getattr(self, "skipped", []) + [tag]
+        if self._skip(tag):
+            return
+        if tag in MATH:
+            if tag in ("mtd", "mtr"):
+                self.pieces.append((self.stack[-1], " "))
             return
         if tag in CLOSES_P and (depth := self._find("p", ("table", "td", "th", "button", "body"))):
             self._pop_to(depth)
@@ -124,18 +165,25 @@ class Page(HTMLParser):
             self.handle_starttag(tag, attrs)  # outside foreign content the slash means nothing
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skip:
-            if tag in self.skipped:
-                while self.skipped.pop() != tag:
-                    pass
-                self.skip = len(self.skipped)
-            return
+        if self.skipped:
+            depth = max((k for k, (t, _) in enumerate(self.skipped) if t == tag), default=-1)
+            if depth >= 0:
+                self._give_up(depth + 1)
+                self.skipped.pop()
+                return
+            # A stray </p> is common, and no sign that the element has no end tag of its own.
+            known = all(n < 0 or t == "head" or n in self.unclosed for t, n in self.skipped)
+            if not (known or tag != "p") or not self._find(tag, ()):
+                return
+            self._give_up(0)
         until = tuple(t for t in ("table", "td", "th", "li", "div", "p", "article", "section")) if tag in INLINE else ()
         if depth := self._find(tag, until):
             self._pop_to(depth)
 
     def handle_data(self, data: str) -> None:
-        if not self.skip:
+        if len(self.skipped) == 1 and self.skipped[0][0] == "head" and data.strip():
+            self.skipped.clear()
+        if not self.skipped:
             self.pieces.append((self.stack[-1], data))
 
 

@@ -153,3 +153,33 @@ def test_trees_score_like_spark(spark):
     out = model.transform(rows).select("x", vector_to_array("probability")[1].alias("p")).collect()
     mine = html_extract.Trees(model.toDebugString, list(model.treeWeights)).probability(np.array([r["x"] for r in out]))
     assert np.allclose(mine, [r["p"] for r in out])
+
+
+def test_skipped_elements_end():
+    """Heads and skipped elements without an end tag cost no text after them; those with one are skipped whole."""
+    def text(html):
+        page = html_extract.Page(html)
+        return html_extract.main_text(page, [True] * len(page.tag))
+    assert text("<html><head><title>t</title><meta charset=x><body><p>One</p><p>Two</p></body></html>") == "One\nTwo"
+    assert text("<html><head><title>t</title><script>var a='<p>'</script><noscript><img></noscript><div>One</div><p>Two") == "One\nTwo"
+    assert text("<head><style>p{}</style>bare text<p>Two") == "bare text\nTwo"
+    assert text("<head><noscript><img><body><p>One</p>") == "One"
+    for tag in ("select", "object", "video", "audio", "canvas", "noscript", "svg", "datalist", "template"):
+        opened, fallback = f"<p>One <{tag}>", f"<{tag}><div><p>no <b>support</b></div><ul><li>x</ul></{tag}>"
+        assert text(f"<body><div>{opened}gone</p><p>Two</p></div><p>Three</p></body>") == "One\nTwo\nThree", tag
+        assert text(f"<div>{opened}gone</div>Two<p>Three") == "One\nTwo\nThree", tag
+        assert text(f"{opened}gone<h2>Two</h2>{fallback}<p>Three") == "One\nTwo\nThree", tag
+        assert text(f"<div>{opened}gone{fallback}<h2>Two</h2></div>") == "One\nTwo", tag
+        assert text(f"<div><p>One</p>{fallback}<p>Two</p>{fallback}</div>") == "One\nTwo", tag
+    assert text("<p>so <math><semantics><mrow><mi>a</mi><mo>=</mo><msup><mi>b</mi><mn>2</mn></msup></mrow><annotation>a=b^2</annotation>"
+                "</semantics></math> holds<p>Two <math><mi>x</mi>") == "so a=b2 holds\nTwo x"
+
+
+def test_whole_article_without_head_end_and_with_formulas(spark, trees):
+    pars = ["First part, with a formula <math><mi>E</mi><mo>=</mo><mi>m</mi></math> and more than a line of text in it.",
+            "Second part of the story: it goes on for a while, until everybody knows how it ends."]
+    plain = ["First part, with a formula E=m and more than a line of text in it.", pars[1]]
+    body = "".join(f"<p>{p}</p>" for p in pars)
+    page = "<html><head><title>x</title>" + LAYOUTS["semantic"].format(t="The title", b=body + "<video src=a>") + "</html>"
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert [r["text"] for r in html_extract.extract(pages, trees).collect()] == ["\n".join(["The title", *plain])]
