@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalog_lake.llm.common import BLANK_CLASS
+from catalog_lake.llm.common import BLANK_CLASS, BLANKS
 
 # The symbols that the symbol count looks for.
 SYMBOL_CLASS = r"[#*$%&|<>]+"
@@ -28,8 +28,9 @@ STOP_WORDS = (
 
 # Lines that hold a word, that start like a list item, and lines that end cut off.
 WORD = r"[^\x20\x09-\x0D]"
-BULLET = r"^[\x20\x09-\x0D]*(?:[-*+]|\u2022|\u2023|\u25CF)[\x20\x09]"
-ELLIPSIS = r"(?:\.\.\.|\u2026)[\x20\x09-\x0D]*$"
+# Both are matched against the start or end that is left without the blanks around the line.
+BULLET = r"^(?:[-*+]|\u2022|\u2023|\u25CF)[\x20\x09]"
+ELLIPSIS = r"(?:\.\.\.|\u2026)\z"
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     marked = ordered.select("*", F.array_sort(starts).alias("starts")).drop("grams")
     covered = F.aggregate("starts", F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")), lambda acc, i: F.struct(
         i.alias("last"), (acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n")), lambda acc: acc["n"])
-    n_lines = F.size("lines")
+    n_lines, blanks = F.size("lines"), F.lit(BLANKS)
     counted = marked.select(
         "row", "n_symbols",
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -88,8 +89,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         (n_lines - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size(F.filter("words", lambda x: F.lower(x).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
-        F.size(F.filter("lines", lambda x: F.substring(x, 1, 40).rlike(BULLET))).cast("long").alias("n_bullet_lines"),
-        F.size(F.filter("lines", lambda x: F.substring(x, -40, 40).rlike(ELLIPSIS))).cast("long").alias("n_ellipsis_lines"),
+        F.size(F.filter("lines", lambda x: F.substring(F.ltrim(x, blanks), 1, 2).rlike(BULLET))).cast("long").alias("n_bullet_lines"),
+        F.size(F.filter("lines", lambda x: F.substring(F.rtrim(x, blanks), -3, 3).rlike(ELLIPSIS))).cast("long").alias("n_ellipsis_lines"),
     )
     per_word = lambda c: F.col(c) / F.greatest(F.col("n_words"), F.lit(1))
     per_line = lambda c: F.col(c) / F.greatest(F.col("n_lines"), F.lit(1))

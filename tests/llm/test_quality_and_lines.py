@@ -1,5 +1,6 @@
 """Quality rules (3) and cross-site line dedup (1) on edge cases."""
 
+import re
 from collections import Counter
 
 from hypothesis import given, settings
@@ -97,3 +98,16 @@ def test_sketch_far_from_threshold_needs_no_exact_count(spark, make_docs):
     lines = line_dedup.line_table(make_docs(rows))
     assert line_dedup.boilerplate(lines, min_sites=20).count() == 1
     assert line_dedup.sketch_error(10, 12) == 2.0
+
+
+def test_bullets_and_ellipses_behind_many_blanks(spark):
+    """Lines match whole, as in the oracle, however many blanks stand around them."""
+    bullet, ellipsis = r"^[\x20\x09-\x0D]*(?:[-*+]|\u2022|\u2023|\u25CF)[\x20\x09]", r"(?:\.\.\.|\u2026)[\x20\x09-\x0D]*\Z"
+    marks = ["- a", "-", "- ", "\u2022\ta", "\u25cf\x0ba", "+\ra", "*a", "-- a", "a - b", "a...", "a..", "a\u2026", "...", "....", "a... b", "\u2026", "\u00a0- a",
+             "a...\u00a0", "a...\u0085", "a...\u2028", "a\u2026\u0085", "a\u2026\r", "\U0001f600...", "- \U0001f600"]
+    pads = ["", " ", "\t\x0b\x0c\r", " " * 37, " " * 38, " " * 39, " " * 40, "\t " * 60]
+    lines = [before + m + after for m in marks for before in pads for after in pads]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["row"]["doc_id"]: (r["n_bullet_lines"], r["n_ellipsis_lines"]) for r in quality.measures(df).collect()}
+    want = {i: (int(bool(re.search(bullet, x))), int(bool(re.search(ellipsis, x)))) for i, x in enumerate(lines)}
+    assert got == want
