@@ -149,3 +149,14 @@ def test_stream_progress_listener_sees_observed_counters(spark, tmp_path):
         spark.streams.removeListener(pc.listener)
     assert pc.total("ingest", "records") == 12 and pc.total("ingest", "missing_key") == 3
     assert len([b for b in pc.batches if b["input_rows"]]) == 3
+
+
+def test_dedup_within_watermark_on_a_table_of_many_years(spark):
+    """One record per user, although they come back after years."""
+    from types import SimpleNamespace
+
+    from catalog_lake.queries.q_incremental import i5w
+    rows = [(user, f"{2000 + 3 * k}-01-{1 + user:02d} 00:00:00", "view") for user in range(20) for k in range(8)]
+    events = spark.createDataFrame(rows, "user_id long, ts string, event_type string").withColumn("ts", F.to_timestamp("ts"))
+    out = i5w(SimpleNamespace(spark=spark, table={"events": events}.__getitem__))
+    assert sorted(r["user_id"] for r in out.collect()) == list(range(20))
