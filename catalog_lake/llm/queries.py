@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_lake.llm import (
-    decontaminate, html_extract, line_dedup, packing, quality, simhash, substring_dedup, suffix_dedup, token_counts, toxicity)
+    alignment, decontaminate, html_extract, line_dedup, packing, periodic_runs, pii, quality, simhash, substring_dedup, suffix_dedup,
+    token_counts, toxicity)
 from catalog_lake.llm.common import table
 
 
@@ -82,6 +83,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
                       F.sha2(ids, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups of every document under two tokenizers, its links and their corpus-wide counts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = alignment.align_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.withColumnRenamed("doc", "doc_id")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one in ten of them looped first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.periodic_runs(docs, with_loops=True).withColumnRenamed("doc", "doc_id")
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs, pii.fit_table(pii.labelled_table(spark))).withColumnRenamed("doc", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_packing, op3_quality_rules, op4_suffix_array_dedup, op5_toxicity, op6_token_counts, op7_html_extraction,
-    op8_simhash_near_dedup, op9_substring_dedup, op10_benchmark_decontamination)}
+    op8_simhash_near_dedup, op9_substring_dedup, op10_benchmark_decontamination, op11_alignment, op12_periodic_runs, op13_pii)}
