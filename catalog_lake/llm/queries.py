@@ -36,7 +36,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
     chain, _ = toxicity.fit_chain(docs, labels, ("low_quality", "toxic"))
-    return toxicity.predict_chain(docs, chain).select("doc_id", "p_low_quality", "p_toxic", toxicity.flagged("toxic").alias("toxic"))
+    return toxicity.predict_chain(docs, chain).select("doc_id", "p_low_quality", "p_toxic", chain.flagged("toxic").alias("toxic"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

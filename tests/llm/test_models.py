@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import public_tokenizers
 from hypothesis import given, settings
@@ -57,25 +58,81 @@ def labelled(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, junk int, toxic int")
 
 
-def test_chain_on_held_out_rows(spark, labelled):
-    chain, held = toxicity.fit_chain(labelled.select("doc_id", "text"), labelled.select("doc_id", "junk", "toxic"),
-                                     ("junk", "toxic"), held_out=True)
+def _right(rows, chain, category):
+    """Shares of the marked and of the other rows that the threshold judges right."""
+    got = rows.groupBy(F.col(category) == 1).agg(F.avg((chain.flagged(category) == (F.col(category) == 1)).cast("double"))).collect()
+    return {r[0]: r[1] for r in got}
+
+
+def test_terms(spark):
+    got = spark.createDataFrame([("Unhappy, cat unhappy! straße",)], "text string").select(toxicity.terms("text")).first()[0]
+    assert sorted(got) == sorted(["unhappy", "cat", "straße", "^unh", "^unha", "^unhap", "^unhapp", "^str", "^stra", "^straß"])
+
+
+def test_fit_is_the_best(spark):
+    """No small change of any weight lowers the penalised loss."""
+    rnd = np.random.default_rng(6)
+    n, k = 300, 40
+    x = rnd.random((n, k)) < rnd.random(k) * 0.5
+    before = rnd.random((n, 1))
+    y = (1 / (1 + np.exp(-(3.0 * x[:, 3] - 2 * x[:, 7] + 2 * before[:, 0] - 1.5))) > rnd.random(n)).astype(float)
+    codes = np.concatenate([np.flatnonzero(r) * 7 - 50 for r in x])
+    b, names, w, wb = toxicity.fit_linear(codes, x.sum(axis=1), before, y, 0.004, rounds=5000)
+    full = np.zeros(k)
+    full[(names + 50) // 7] = w
+
+    def loss(v):
+        margin = x @ v[:k] + before @ v[k:-1] + v[-1]
+        return np.log1p(np.exp(-(2 * y - 1) * margin)).mean() + 0.004 * np.abs(v[:-1]).sum()
+
+    v = np.concatenate([full, wb, [b]])
+    for i in range(k + 2):
+        for step in (0.05, -0.05):
+            u = v.copy()
+            u[i] += step
+            assert loss(u) > loss(v) - 1e-6
+    assert 3 * 7 - 50 in names and 0 < len(names) < k
+
+
+def test_chain_on_held_out_rows(spark, labelled, clash):
+    chain, held = toxicity.fit_chain(labelled.select("doc_id", "text"), labelled.select("doc_id", "junk", "toxic"), ("junk", "toxic"))
+    assert held.count() == 500
     for c in ("junk", "toxic"):
-        right = held.where((F.col(f"p_{c}") >= 0.4) == (F.col(c) == 1)).count()
-        assert right >= 0.95 * held.count()
+        assert min(_right(held, chain, c).values()) >= 0.95
     assert [c for c, _ in chain.models] == ["junk", "toxic"]
-    docs = spark.createDataFrame([(1, "w1 w2 VILEWORD, w3"), (2, "w1 w2 w3"), (3, None), (4, ""), (1, "w1 w2 VILEWORD, w3")],
-                                 "doc_id long, text string").withColumn("p_x", F.lit("own"))
-    got = toxicity.predict_chain(docs, chain).select("doc_id", toxicity.flagged("toxic").alias("t")).collect()
-    assert sorted((r["doc_id"], r["t"]) for r in got) == [(1, True), (1, True), (2, False), (3, False), (4, False)]
-    # constant and missing labels
+    long = "w1 w2 " * 200_000
+    docs = spark.createDataFrame([(1, "w1 w2 VILEWORD, w3"), (2, "w1 w2 w3"), (3, None), (4, ""), (1, "w1 w2 VILEWORD, w3"), (5, long), (6, long + "vileword")],
+                                 "doc_id long, text string")
+    for c in ("p_x", "_terms", "_bag", "_row", "_x", "_p", "_y", "p_junk"):
+        docs = docs.withColumn(c, F.lit("own"))
+    out = toxicity.predict_chain(clash(docs), chain)
+    got = out.withColumn("t", chain.flagged("toxic")).collect()
+    assert sorted((r["doc_id"], r["t"]) for r in got) == [(1, True), (1, True), (2, False), (3, False), (4, False), (5, False), (6, True)]
+    assert {r[c] for r in got for c in ("p_x", "_terms", "_bag", "_row", "_x", "_p", "_y")} == {"own"} and 0 <= got[0]["p_junk"] <= 1
+    # repeated rows, constant, missing and no labels
+    twice = labelled.unionByName(labelled.limit(50))
+    chain, held = toxicity.fit_chain(twice.select("doc_id", "text"), labelled.select("doc_id", "toxic"), ("toxic",))
+    assert held.count() == 550
     one = labelled.select("doc_id", F.lit(0).alias("never"), F.lit(None).cast("int").alias("unknown"))
     chain, _ = toxicity.fit_chain(labelled.select("doc_id", "text"), one, ("never",))
-    assert toxicity.predict_chain(docs, chain).select("p_never").distinct().collect()[0][0] == 0.0
+    assert toxicity.predict_chain(docs, chain).agg(F.max("p_never")).first()[0] < 1e-9
     chain, _ = toxicity.fit_chain(labelled.select("doc_id", "text"), one, ("unknown",))
     assert toxicity.predict_chain(docs.limit(0), chain).count() == 0
 
 
+def test_chain_on_the_given_labels(spark):
+    """Labelled rows of the given tables that the chain is not fitted on are judged right."""
+    at = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{at}/{t}.parquet") for t in ("documents", "labels"))
+    labels = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    apart = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(4)) == 0
+    chain, held = toxicity.fit_chain(docs, labels.where(~apart), ("low_quality", "toxic"))
+    rows = docs.select("doc_id", "text").join(labels.where(apart), "doc_id")
+    right = _right(toxicity.predict_chain(rows, chain), chain, "toxic")
+    assert right[True] >= 0.88 and right[False] >= 0.97
+    assert min(_right(held, chain, "toxic").values()) >= 0.85
+
+
 LAYOUTS = {
     "semantic": "<header><h2>Site</h2><nav><ul><li><a href=/a>Home</a></li><li><a href=/b>About us</a></li></ul></nav></header>"
                 "<main><article><h1>{t}</h1>{b}</article></main><aside class=sidebar><p>Popular posts this week</p></aside>"
