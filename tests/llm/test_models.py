@@ -1,6 +1,7 @@
 """Toxicity chain (5), HTML extraction (7), token counts (6)."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -64,12 +65,12 @@ def _right(rows, chain, category):
     return {r[0]: r[1] for r in got}
 
 
-def test_terms(spark):
-    got = spark.createDataFrame([("Unhappy, cat unhappy! straße",)], "text string").select(toxicity.terms("text")).first()[0]
-    assert sorted(got) == sorted(["unhappy", "cat", "straße", "^unh", "^unha", "^unhap", "^unhapp", "^str", "^stra", "^straß"])
+def test_terms():
+    words = ["unhappy", "cat", "straße", "^unh", "^unha", "^unhap", "^unhapp", "^str", "^stra", "^straß"]
+    assert toxicity.terms("Unhappy, cat unhappy! straße") == {zlib.crc32(w.encode()) for w in words} and toxicity.terms(None) == set()
 
 
-def test_fit_is_the_best(spark):
+def test_fit_is_the_best():
     """No small change of any weight lowers the penalised loss."""
     rnd = np.random.default_rng(6)
     n, k = 300, 40
@@ -77,7 +78,7 @@ def test_fit_is_the_best(spark):
     before = rnd.random((n, 1))
     y = (1 / (1 + np.exp(-(3.0 * x[:, 3] - 2 * x[:, 7] + 2 * before[:, 0] - 1.5))) > rnd.random(n)).astype(float)
     codes = np.concatenate([np.flatnonzero(r) * 7 - 50 for r in x])
-    b, names, w, wb = toxicity.fit_linear(codes, x.sum(axis=1), before, y, 0.004, rounds=5000)
+    b, names, w, wb = toxicity.fit_linear(codes, x.sum(axis=1), before, y, 0.004, rounds=5000, close=1e-6)
     full = np.zeros(k)
     full[(names + 50) // 7] = w
 
