@@ -44,22 +44,42 @@ def keep_round(df: DataFrame, pk: str | Sequence[str], round_col: str = "round_l
     return keep_one(df, pk, order)
 
 
+def dense_ids(values: DataFrame, col: str, id_col: str = "new_id") -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY col)`` over the distinct non-null values, without gathering them.
+
+    The values are range-partitioned and sorted, and a row's number is its place in its
+    partition plus the rows of the partitions before.  Only one count per partition goes to
+    the driver.  The sorted values are cut at a checkpoint in the shared folder first: range
+    bounds come from a sample, and both passes must see the same ones.
+    """
+    from catalog_lake.session import checkpoint_dir
+    checkpoint_dir(values.sparkSession)
+    place = F.monotonically_increasing_id()  # partition number << 33, plus the place in it
+    rows = values.select(col).filter(F.col(col).isNotNull()).distinct().sort(col).select(col, place.alias("_place")).checkpoint()
+    part = F.shiftrightunsigned("_place", 33)
+    counts = sorted(rows.groupBy(part.alias("_part")).count().collect())
+    before, offsets = 0, []
+    for p, n in counts:
+        offsets.append((p, before))
+        before += n
+    offset = values.sparkSession.createDataFrame(offsets, "_part long, _before long")
+    return rows.withColumn("_part", part).join(offset, "_part") \
+        .select(col, (F.col("_place").bitwiseAND((1 << 33) - 1) + F.col("_before") + 1).alias(id_col))
+
+
 def assign_ids(names: DataFrame, name_col: str, base: DataFrame | int, id_col: str = "new_id") -> DataFrame:
     """``base + ROW_NUMBER() OVER (ORDER BY name)`` over *distinct* names (quirk 3 fixed).
 
     ``base`` is a number or a one-row, one-column frame (e.g. the current
     maximum id), cross-joined in so the value never goes through the driver.
-    The window has no partition: it runs on the distinct missing names only,
-    a set bounded by the dimension's domain, after a distributed distinct.
+    Empty names get no id.  The numbers are ``dense_ids``: no task sees all names.
     """
-    d = names.select(name_col).filter(F.col(name_col).isNotNull() & (F.col(name_col) != "")).distinct()
+    d = dense_ids(names.filter(F.col(name_col) != ""), name_col, "_id")
     if isinstance(base, DataFrame):
         d = d.crossJoin(base.select(F.col(base.columns[0]).alias("_base")))
-        b = F.col("_base")
     else:
-        b = F.lit(base)
-    out = d.withColumn(id_col, (b + F.row_number().over(Window.orderBy(name_col))).cast("bigint"))
-    return out.drop("_base") if isinstance(base, DataFrame) else out
+        d = d.withColumn("_base", F.lit(base))
+    return d.select(name_col, (F.col("_base") + F.col("_id")).cast("bigint").alias(id_col))
 
 
 def drop_full_duplicates(df: DataFrame, cols: Sequence[str]) -> DataFrame:

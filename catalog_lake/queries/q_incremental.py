@@ -3,9 +3,12 @@
 
 from pyspark.sql import functions as F
 
+from catalog_lake.operators.dedup import dense_ids
 from catalog_lake.queries.registry import register
 from catalog_lake.session import scratch
 from catalog_lake.streaming import incremental as inc
+from catalog_lake.streaming.keep_first import keep_first
+from catalog_lake.streaming.parked import Entity, ParkedUpsert
 
 _SEEN = """(SELECT url FROM (SELECT url, arg_max(status_code, (timestamp, event_id)) AS s
                              FROM fetch_log GROUP BY url) x WHERE s = 200)"""
@@ -69,3 +72,80 @@ def i5w(t):
     inc.run_to_table(inc.dedup_stream(stream, "user_id", event_time="ts", delay=f"{span + 2} seconds"),
                      f"{base}/dedup", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/dedup").select("user_id")
+
+
+@register("i5_keep_first_evicting", """
+WITH RECURSIVE kept AS (
+  SELECT user_id, min(ts) AS ts FROM events GROUP BY user_id
+  UNION ALL
+  SELECT k.user_id, min(e.ts) AS ts FROM kept k JOIN events e ON e.user_id = k.user_id AND e.ts > k.ts + INTERVAL 36 HOUR
+  GROUP BY k.user_id)
+SELECT k.user_id, k.ts, min(e.event_id) AS event_id FROM kept k JOIN events e ON e.user_id = k.user_id AND e.ts = k.ts
+GROUP BY k.user_id, k.ts""")
+def i5_evicting(t):
+    """The first event per user that no kept one of the user precedes by 36 hours.  The events land a
+    sixth of their days at a time and every landing is drained by its own run of the stream, restarted
+    from its checkpoint: the delay is far below the table's span, so users are evicted and come again."""
+    spark = t.spark
+    base = scratch(spark, "stream")
+    events = t.table("events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    first, last = events.agg(F.min(F.col("ts").cast("long")), F.max(F.col("ts").cast("long"))).first()
+    if first is None:
+        return events
+    step = (last - first) // 6 + 1
+    for k in range(6):
+        at = F.col("ts").cast("long")
+        events.filter((at >= first + k * step) & (at < first + (k + 1) * step)).write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
+        inc.run_to_table(keep_first(stream, "user_id", "ts", 36 * 3600), f"{base}/kept", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/kept")
+
+
+_LINE = "struct<l_linenumber:int,l_partkey:bigint,l_quantity:double>"
+
+
+@register("i6_parked_upsert_replayed", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, o_custkey, 'loaded' AS state
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderkey % 10 <> 0
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CAST(NULL AS BIGINT), 'parked'
+FROM lineitem WHERE l_orderkey % 10 = 0""")
+def i6(t):
+    """Orders and their lines, landed children first in three drops: the lines of every order (one order in
+    three first with too few lines), half of the orders with all lines of those, then the other orders but
+    for every tenth, whose lines stay parked.  After the second drop its batch is replayed, and the log is
+    folded into a base."""
+    spark = t.spark
+    base = scratch(spark, "parked")
+    one = F.struct(F.col("l_linenumber").cast("int").alias("l_linenumber"), F.col("l_partkey").cast("bigint").alias("l_partkey"),
+                   F.col("l_quantity").cast("double").alias("l_quantity"))
+    lines = t.table("lineitem").groupBy(F.col("l_orderkey").cast("bigint").alias("l_orderkey")).agg(F.collect_list(one).alias("lines"))
+    orders = t.table("orders").select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"))
+    few = F.when(F.col("l_orderkey") % 3 == 0, F.slice("lines", 1, 1)).otherwise(F.col("lines"))
+    record, parent = F.lit("record").alias("kind"), F.lit("parent").alias("kind")
+    drops = [[lines.select(record, "l_orderkey", few.alias("lines"))],
+             [orders.filter("o_orderkey % 2 = 1").select(parent, "*"), lines.filter("l_orderkey % 3 = 0").select(record, "*")],
+             [orders.filter("o_orderkey % 2 = 0 AND o_orderkey % 10 <> 0").select(parent, "*")]]
+    store = ParkedUpsert(spark, f"{base}/store", Entity("o_orderkey", "o_orderkey bigint, o_custkey bigint"),
+                         Entity("l_orderkey", f"l_orderkey bigint, lines array<{_LINE}>"), "l_orderkey")
+    schema = f"kind string, o_orderkey bigint, o_custkey bigint, l_orderkey bigint, lines array<{_LINE}>"
+    for k, frames in enumerate(drops):
+        for frame in frames:
+            missing = [c for c in ("o_orderkey", "o_custkey") if c not in frame.columns]
+            frame.select("*", *[F.lit(None).cast("bigint").alias(c) for c in missing]).write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/landing")
+        store.run(stream, f"{base}/ckpt")
+        if k == 1:
+            store.handle(spark.read.schema(schema).parquet(f"{base}/landing"), max(store.committed()))
+            store.compact()
+    child = [F.col(f"line.{c}").alias(c) for c in ("l_linenumber", "l_partkey", "l_quantity")]
+    loaded = store.children("lines", "line").join(store.parents(), F.col("l_orderkey") == F.col("o_orderkey")) \
+        .select("l_orderkey", *child, "o_custkey", F.lit("loaded").alias("state"))
+    waiting = store.parked().select("l_orderkey", F.explode("lines").alias("line")) \
+        .select("l_orderkey", *child, F.lit(None).cast("bigint").alias("o_custkey"), F.lit("parked").alias("state"))
+    return loaded.unionByName(waiting)
+
+
+@register("w4_dense_ids", "SELECT c_name, row_number() OVER (ORDER BY c_name) AS new_id FROM (SELECT DISTINCT c_name FROM customer) x")
+def w4(t):
+    return dense_ids(t.table("customer"), "c_name")
