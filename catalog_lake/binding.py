@@ -67,7 +67,10 @@ _LOCKS_GUARD = threading.Lock()
 #: Modules that build the materialised tables.
 BUILDERS = ("catalog_lake.binding", "catalog_lake.operators.search", "catalog_lake.functions.text")
 MATERIALISED = {"articles": ("article_id",), "compatible_cars": ("article_id", "car_type_id"),
-                "postings": ("token", "article_id")}
+                "postings": ("token", "article_id"), "grams": ("gram", "article_id")}
+#: Inverted indexes are range-partitioned, so a token's rows are in the few files that its range covers, with
+#: Bloom filters on the column that lookups name.
+INDEXES = {"postings": "token", "grams": "gram"}
 
 
 class Catalog:
@@ -128,10 +131,16 @@ class Catalog:
                 # Written to a private folder, then renamed into place: a crashed
                 # or concurrent writer never leaves a half table under ``path``.
                 tmp = f"{base}/_tmp-{name}-{uuid.uuid4().hex}"
-                # Hash-partitioned on the composite key (no range-sampling pass
-                # over the input), sorted within each file so row-group
+                # Tables are hash-partitioned on the composite key (no range-sampling
+                # pass over the input), sorted within each file so row-group
                 # statistics still prune key lookups.
-                build.repartition(*keys).sortWithinPartitions(*keys).write.parquet(tmp)
+                looked_up = INDEXES.get(name)
+                dealt = build.repartitionByRange(*keys) if looked_up else build.repartition(*keys)
+                writer = dealt.sortWithinPartitions(*keys).write
+                if looked_up:
+                    writer = writer.option(f"parquet.bloom.filter.enabled#{looked_up}", "true") \
+                        .option(f"parquet.bloom.filter.expected.ndv#{looked_up}", "100000")
+                writer.parquet(tmp)
                 jvm = self.spark.sparkContext._jvm
                 src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
                 fs = dst.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -373,6 +382,12 @@ class Catalog:
         from catalog_lake.operators.search import build_postings
         return self._store("postings", build_postings(self.articles, self.article_details))
 
+    @cached_property
+    def grams(self) -> DataFrame:
+        """S6 index: (field, gram, article_id), the 3-grams of the three text columns."""
+        from catalog_lake.operators.search import build_grams
+        return self._store("grams", build_grams(self.articles, "article_id", ("part_number", "part_name", "article_manufacturer")))
+
     def all_tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in (
             "manufacturers", "model_series", "car_types", "car_type_details", "groups",

@@ -12,8 +12,8 @@ Query
     web-search syntax: words are AND-ed, ``"quoted phrase"`` needs adjacent
     positions in one field, ``or`` between two items makes them
     alternatives, ``-word`` excludes.  The string is parsed on the driver
-    (it is a few words); matching runs on the executors as filters, one
-    small self-join per phrase, and one aggregate per article.
+    (it is a few words); matching and ranking are one scan of the query's
+    postings and one aggregate per article, phrases included.
 
 Rank (own formula, documented; not bit-equal to any other engine)
     Σ over positive query tokens Σ over fields  weight(field) × tf / (tf + 1)
@@ -23,6 +23,7 @@ Rank (own formula, documented; not bit-equal to any other engine)
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -98,48 +99,70 @@ def parse_web_query(q: str) -> WebQuery:
 
 
 # -- matching and ranking --------------------------------------------------------
-def _phrase_hits(hits: DataFrame, phrase: list[str]) -> DataFrame:
-    """Articles containing ``phrase`` as consecutive positions within one field."""
-    base = hits.filter(F.col("token") == phrase[0]).select("article_id", "field", F.col("pos").alias("p0"))
-    for i, tok in enumerate(phrase[1:], start=1):
-        nxt = hits.filter(F.col("token") == tok).select("article_id", "field", (F.col("pos") - i).alias("p0"))
-        base = base.join(nxt, ["article_id", "field", "p0"])
-    return base.select("article_id").distinct()
+def _holds(phrase: list[str], numbers: dict[str, int]) -> Column:
+    """Whether the article has the phrase: its tokens at adjacent positions of one field."""
+    first, *rest = (F.col(f"at{numbers[t]}") for t in phrase)
+    if not rest:
+        return F.size(first) > 0
+    return F.exists(first, lambda x: reduce(lambda a, b: a & b, [
+        F.array_contains(at, F.struct(x["field"].alias("field"), (x["pos"] + i).alias("pos"))) for i, at in enumerate(rest, start=1)]))
+
+
+def _times(places: str, field_name: str) -> Column:
+    """How often a token stands in the field."""
+    return F.size(F.filter(places, lambda x: x["field"] == field_name))
+
+
+def scored(postings: DataFrame, q: str | WebQuery) -> tuple[DataFrame, bool]:
+    """S2 + S3 in one scan: (article_id, matches, relevance) of the articles with a token of the query,
+    and whether an article with none of them matches too.
+
+    One aggregate per article over the query's postings, however many words there are: the
+    places of each token, from which phrases are tested by array functions, and the rank.
+    The places of an article are bounded by its four short fields.
+    """
+    wq = parse_web_query(q) if isinstance(q, str) else q
+    numbers = {t: i for i, t in enumerate(wq.all_tokens)}
+    places = [F.collect_list(F.when(F.col("token") == t, F.struct("field", F.col("pos").cast("bigint").alias("pos")))).alias(f"at{i}")
+              for t, i in numbers.items()]
+    hits = postings.filter(F.col("token").isin(wq.all_tokens)).groupBy("article_id").agg(*places) if numbers else \
+        postings.select("article_id").limit(0)
+    relevance = F.lit(0.0)
+    for t in wq.positive_tokens:  # a token that only stands in excluded phrases has no rank
+        for f, (_, weight) in FIELD_WEIGHTS.items():
+            tf = _times(f"at{numbers[t]}", f)
+            relevance = relevance + weight * tf / (tf + 1)
+    found = [reduce(lambda a, b: a & b, [~_holds(p, numbers) if excluded else _holds(p, numbers) for excluded, p in alt])
+             for alt in wq.alternatives]
+    matches = reduce(lambda a, b: a | b, found) if found else F.lit(False)
+    return hits.select("article_id", matches.alias("matches"), relevance.alias("relevance")), any(
+        all(excluded for excluded, _ in alt) for alt in wq.alternatives)
+
+
+def with_relevance(rows: DataFrame, postings: DataFrame, q: str | WebQuery) -> DataFrame:
+    """The rows (with ``article_id``) that match the query, and their relevance: one join with ``scored``."""
+    hits, others = scored(postings, q)
+    if not others:
+        return rows.join(hits.filter("matches").select("article_id", "relevance"), "article_id")
+    return rows.join(hits, "article_id", "left").filter(F.coalesce("matches", F.lit(True))).drop("matches") \
+        .withColumn("relevance", F.coalesce("relevance", F.lit(0.0)))
 
 
 def match(postings: DataFrame, q: str | WebQuery, universe: DataFrame) -> DataFrame:
     """Article ids (from ``universe``) matching the web query."""
-    wq = parse_web_query(q) if isinstance(q, str) else q
-    hits = postings.filter(F.col("token").isin(wq.all_tokens)).select("token", "article_id", "field", "pos")
-    ids = universe.select("article_id")
-    found = []
-    for alt in wq.alternatives:
-        cur = ids
-        for excluded, phrase in sorted(alt, key=lambda x: x[0]):
-            cur = cur.join(_phrase_hits(hits, phrase), "article_id", "left_anti" if excluded else "left_semi")
-        found.append(cur)
-    if not found:  # no word to look for matches nothing
-        return ids.limit(0)
-    return found[0] if len(found) == 1 else reduce(DataFrame.unionAll, found).distinct()
+    return with_relevance(universe.select("article_id"), postings, q).select("article_id")
 
 
 def rank(postings: DataFrame, q: str | WebQuery) -> DataFrame:
     """S3: (article_id, relevance) over the query's positive tokens."""
-    wq = parse_web_query(q) if isinstance(q, str) else q
-    tf = (postings.filter(F.col("token").isin(wq.positive_tokens))
-          .groupBy("article_id", "token", "field", "weight").agg(F.count(F.lit(1)).alias("tf")))
-    return tf.groupBy("article_id").agg(
-        F.sum(F.col("weight") * F.col("tf") / (F.col("tf") + 1)).alias("relevance"))
+    return scored(postings, q)[0].filter("relevance > 0").select("article_id", "relevance")
 
 
 def keyword_search(articles: DataFrame, postings: DataFrame, q: str, limit: int | None = 20,
                    car: DataFrame | None = None) -> DataFrame:
     """Q7: matches ranked by relevance (desc, then article_id), optional car filter."""
-    ids = match(postings, q, articles)
-    if car is not None:
-        ids = ids.join(car.select("article_id"), "article_id", "left_semi")
-    out = (articles.join(ids, "article_id", "left_semi").join(rank(postings, q), "article_id", "left")
-           .withColumn("relevance", F.round(F.coalesce("relevance", F.lit(0.0)), 6)))
+    rows = articles if car is None else articles.join(car.select("article_id"), "article_id", "left_semi")
+    out = with_relevance(rows, postings, q).withColumn("relevance", F.round("relevance", 6))
     out = out.orderBy(F.desc("relevance"), "article_id")
     return out.limit(limit) if limit else out
 
@@ -175,10 +198,8 @@ def search(articles: DataFrame, postings: DataFrame, compat: DataFrame, q: str =
         filtered = filtered.join(cars, "article_id", "left_semi")
     qc = (q or "").strip()
     if qc:
-        filtered = filtered.join(match(postings, qc, filtered), "article_id", "left_semi")
-        ranked = filtered.join(rank(postings, qc), "article_id", "left") \
-            .withColumn("relevance", F.round(F.coalesce("relevance", F.lit(0.0)), 6))
-        ordered = ranked.orderBy(F.desc("relevance"), "article_id")
+        filtered = with_relevance(filtered, postings, qc).withColumn("relevance", F.round("relevance", 6))
+        ordered = filtered.orderBy(F.desc("relevance"), "article_id")
     else:
         ordered = filtered.withColumn("relevance", F.lit(None).cast("double")).orderBy("article_id")
     rows = ordered.offset((page - 1) * limit).limit(limit) if page > 1 else ordered.limit(limit)
@@ -201,6 +222,11 @@ def trigram_postings(df: DataFrame, key: str, col: str) -> DataFrame:
     return df.select(key, F.explode(F.array_distinct(grams)).alias("gram")).filter(F.length("gram") == 3)
 
 
+def build_grams(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """S6 index of several columns: (field, gram, key)."""
+    return reduce(DataFrame.unionByName, [trigram_postings(df, key, c).select(F.lit(c).alias("field"), "gram", key) for c in cols])
+
+
 def contains_search(df: DataFrame, key: str, col: str, x: str, grams: DataFrame | None = None) -> DataFrame:
     """``col ILIKE '%x%'``; with a trigram index, candidates are prefiltered first.
 
@@ -208,9 +234,9 @@ def contains_search(df: DataFrame, key: str, col: str, x: str, grams: DataFrame
     gives a superset that the ILIKE check then makes exact.
     """
     cand = df
-    xs = x.lower()
-    if grams is not None and len(xs) >= 3:
-        need = sorted({xs[i:i + 3] for i in range(len(xs) - 2)})
+    # Only literal stretches have grams: ILIKE reads % and _ as wildcards.
+    need = sorted({run[i:i + 3] for run in re.split(r"[%_\\]", x.lower()) for i in range(len(run) - 2)})
+    if grams is not None and need:
         hit = (grams.filter(F.col("gram").isin(need)).groupBy(key)
                .agg(F.countDistinct("gram").alias("n")).filter(F.col("n") == len(need)))
         cand = df.join(hit.select(key), key, "left_semi")

@@ -12,27 +12,20 @@ def _postings(t):
     return t.postings
 
 
-def _q(s: str) -> str:
-    return s.replace("'", "''")
-
-
-def _phrase_sql(tokens: list[str]) -> str:
-    joins = "".join(
-        f" JOIN postings p{i} ON p{i}.article_id = p0.article_id AND p{i}.field = p0.field"
-        f" AND p{i}.pos = p0.pos + {i} AND p{i}.token = '{_q(tok)}'" for i, tok in enumerate(tokens[1:], start=1))
-    return f"SELECT p0.article_id FROM postings p0{joins} WHERE p0.token = '{_q(tokens[0])}'"
+# The oracles state each query by hand, without the parser under test.
+_HAS = "article_id IN (SELECT article_id FROM postings WHERE token = '{}')"
+_PAIR = """article_id IN (SELECT a.article_id FROM postings a JOIN postings b
+  ON b.article_id = a.article_id AND b.field = a.field AND b.pos = a.pos + 1 WHERE a.token = '{}' AND b.token = '{}')"""
 
 
-def match_sql(q: str, universe: str = "articles") -> str:
-    alts = [" AND ".join(f"article_id {'NOT ' * excluded}IN ({_phrase_sql(p)})" for excluded, p in alt)
-            for alt in sx.parse_web_query(q).alternatives]
-    return f"SELECT article_id FROM {universe} WHERE {' OR '.join(f'({a})' for a in alts) or 'false'}"
+def _where(cond: str, universe: str = "articles") -> str:
+    return f"SELECT article_id FROM {universe} WHERE {cond}"
 
 
-def rank_sql(q: str) -> str:
-    toks = ", ".join(f"'{_q(x)}'" for x in sx.parse_web_query(q).positive_tokens)
+def _rank(*tokens: str) -> str:
+    listed = ", ".join(f"'{t}'" for t in tokens)
     return f"""SELECT article_id, sum(weight * CAST(tf AS DOUBLE) / (tf + 1)) AS relevance FROM (
-        SELECT article_id, token, field, weight, count(*) AS tf FROM postings WHERE token IN ({toks})
+        SELECT article_id, token, field, weight, count(*) AS tf FROM postings WHERE token IN ({listed})
         GROUP BY article_id, token, field, weight) x GROUP BY article_id"""
 
 
@@ -42,51 +35,42 @@ def s1(t):
     return sx.build_postings(t.articles, t.article_details).select("token", "article_id", "field", "weight", "pos")
 
 
+_RED, _PLATE = _HAS.format("red"), _HAS.format("plate")
 _MATCHES = {
-    "s2_match_words": "red plate",
-    "s2_match_phrase": '"hot plate"',
-    "s2_match_or": "widget or gear",
-    "s2_match_exclude": "plate -red",
-    "s2_match_part_number": "PN-12",
-    "s2_match_brand_or_phrase": 'brand#2 "small ring" or gizmo -blue',
-}
-
-
-def _reg_match(key: str, q: str) -> None:
-    @register(key, match_sql(q), V)
-    def _f(t):
-        return sx.match(_postings(t), q, t.articles)
-
-
-for _k, _v in _MATCHES.items():
-    _reg_match(_k, _v)
-
-# Grammar checks whose SQL is written by hand, without the parser.
-_HAS = "article_id IN (SELECT article_id FROM postings WHERE token = '{}')"
-_GRAMMAR = {
-    "s2_or_binds_weaker": ("red plate or ring", f"({_HAS.format('red')} AND {_HAS.format('plate')}) OR {_HAS.format('ring')}"),
-    "s2_or_not": ("widget or -red", f"{_HAS.format('widget')} OR NOT {_HAS.format('red')}"),
+    "s2_match_words": ("red plate", f"{_RED} AND {_PLATE}"),
+    "s2_match_phrase": ('"hot plate"', _PAIR.format("hot", "plate")),
+    "s2_match_or": ("widget or gear", f"{_HAS.format('widget')} OR {_HAS.format('gear')}"),
+    "s2_match_exclude": ("plate -red", f"{_PLATE} AND NOT {_RED}"),
+    "s2_match_part_number": ("PN-12", _PAIR.format("pn", "12")),
+    "s2_match_brand_or_phrase": ('brand#2 "small ring" or gizmo -blue',
+                                 f"({_PAIR.format('brand', '2')} AND {_PAIR.format('small', 'ring')})"
+                                 f" OR ({_HAS.format('gizmo')} AND NOT {_HAS.format('blue')})"),
+    "s2_or_binds_weaker": ("red plate or ring", f"({_RED} AND {_PLATE}) OR {_HAS.format('ring')}"),
+    "s2_or_not": ("widget or -red", f"{_HAS.format('widget')} OR NOT {_RED}"),
     "s2_no_word": ("!!!", "false"),
+    "s2_many_words": ('"red plate" or "red ring" or "hot plate" or widget -gear or pn -brand -"small ring"',
+                      f"{_PAIR.format('red', 'plate')} OR {_PAIR.format('red', 'ring')} OR {_PAIR.format('hot', 'plate')}"
+                      f" OR ({_HAS.format('widget')} AND NOT {_HAS.format('gear')})"
+                      f" OR ({_HAS.format('pn')} AND NOT {_HAS.format('brand')} AND NOT {_PAIR.format('small', 'ring')})"),
 }
 
 
-def _reg_grammar(key: str, q: str, where: str) -> None:
-    @register(key, f"SELECT article_id FROM articles WHERE {where}", V)
+def _reg_match(key: str, q: str, cond: str) -> None:
+    @register(key, _where(cond), V)
     def _f(t):
         return sx.match(_postings(t), q, t.articles)
 
 
-for _k, (_v, _w) in _GRAMMAR.items():
-    _reg_grammar(_k, _v, _w)
+for _k, (_v, _w) in _MATCHES.items():
+    _reg_match(_k, _v, _w)
 
 
 @register("s3_rank", f"""
 SELECT m.article_id, round(coalesce(r.relevance, 0.0), 6) AS relevance
-FROM ({match_sql("red plate")}) m LEFT JOIN ({rank_sql("red plate")}) r USING (article_id)""", V)
+FROM ({_where(f"{_RED} AND {_PLATE}")}) m LEFT JOIN ({_rank("red", "plate")}) r USING (article_id)""", V)
 def s3(t):
-    p = _postings(t)
-    return sx.match(p, "red plate", t.articles).join(sx.rank(p, "red plate"), "article_id", "left") \
-        .select("article_id", F.round(F.coalesce("relevance", F.lit(0.0)), 6).alias("relevance"))
+    return sx.with_relevance(t.articles.select("article_id"), _postings(t), "red plate") \
+        .select("article_id", F.round("relevance", 6).alias("relevance"))
 
 
 _Q7_COLS = "a.article_id, a.part_name, a.part_number, a.article_manufacturer, a.group_name, a.thumbnail_url"
@@ -94,7 +78,7 @@ _Q7_COLS = "a.article_id, a.part_name, a.part_number, a.article_manufacturer, a.
 
 @register("q7_keyword_search", f"""
 SELECT {_Q7_COLS}, round(coalesce(r.relevance, 0.0), 6) AS relevance
-FROM articles a JOIN ({match_sql("plate")}) m USING (article_id) LEFT JOIN ({rank_sql("plate")}) r USING (article_id)
+FROM articles a JOIN ({_where(_PLATE)}) m USING (article_id) LEFT JOIN ({_rank("plate")}) r USING (article_id)
 ORDER BY relevance DESC, article_id LIMIT 20""", V)
 def q7(t):
     return sx.keyword_search(t.articles, _postings(t), "plate", 20) \
@@ -104,8 +88,8 @@ def q7(t):
 
 @register("q7_keyword_search_car_filter", f"""
 SELECT {_Q7_COLS}, round(coalesce(r.relevance, 0.0), 6) AS relevance
-FROM articles a JOIN ({match_sql("plate or ring")}) m USING (article_id)
-     LEFT JOIN ({rank_sql("plate or ring")}) r USING (article_id)
+FROM articles a JOIN ({_where(f"{_PLATE} OR {_HAS.format('ring')}")}) m USING (article_id)
+     LEFT JOIN ({_rank("plate", "ring")}) r USING (article_id)
 WHERE a.article_id IN (SELECT DISTINCT article_id FROM compatible_cars
                        WHERE manufacturer_name ILIKE '%nation_1%' AND model_name ILIKE '%#0000001%')
 ORDER BY relevance DESC, article_id LIMIT 20""", V + ("compatible_cars",))
@@ -126,10 +110,10 @@ _Q9_COLS = "a.article_id, a.part_name, a.part_number, a.article_manufacturer, a.
 
 @register("q9_s4_f14_faceted_search", f"""
 WITH f AS (SELECT * FROM articles a WHERE {_Q9_FILTER}),
-m AS (SELECT f.* FROM f WHERE f.article_id IN ({match_sql("plate or widget", "f")})),
+m AS (SELECT f.* FROM f WHERE f.article_id IN ({_where(f"{_PLATE} OR {_HAS.format('widget')}", "f")})),
 total AS (SELECT count(*) AS total FROM m)
 SELECT {_Q9_COLS}, round(coalesce(r.relevance, 0.0), 6) AS relevance, total.total
-FROM m a LEFT JOIN ({rank_sql("plate or widget")}) r USING (article_id), total
+FROM m a LEFT JOIN ({_rank("plate", "widget")}) r USING (article_id), total
 ORDER BY relevance DESC, article_id LIMIT 10 OFFSET 10""", V + ("compatible_cars",))
 def q9(t):
     rows, total = sx.search(t.articles, _postings(t), t.compatible_cars, q="plate or widget", make="nation_2",
@@ -150,7 +134,7 @@ def q9b(t):
 
 @register("g14_total_hits", f"""
 SELECT count(*) AS total FROM articles a
-WHERE a.article_id IN ({match_sql("plate")}) AND a.article_id IN (
+WHERE a.article_id IN ({_where(_PLATE)}) AND a.article_id IN (
   SELECT article_id FROM compatible_cars WHERE model_name ILIKE '%customer#00000%')""", V + ("compatible_cars",))
 def g14(t):
     _, total = sx.search(t.articles, _postings(t), t.compatible_cars, q="plate", model="customer#00000")
@@ -176,6 +160,26 @@ def s6(t):
 @register("s6_contains_trigram_prefilter", """
 SELECT article_id, part_number FROM articles WHERE part_number ILIKE '%-123%'""", ("articles",))
 def s6t(t):
-    grams = sx.trigram_postings(t.articles, "article_id", "part_number")
-    return sx.contains_search(t.articles, "article_id", "part_number", "-123", grams) \
+    return sx.contains_search(t.articles, "article_id", "part_number", "-123", t.grams.filter("field = 'part_number'")) \
         .select("article_id", "part_number")
+
+
+@register("s6_contains_name_grams", """
+SELECT article_id, part_name FROM articles WHERE part_name ILIKE '%d pla%'""", ("articles",))
+def s6n(t):
+    return sx.contains_search(t.articles, "article_id", "part_name", "D PLA", t.grams.filter("field = 'part_name'")) \
+        .select("article_id", "part_name")
+
+
+@register("s6_gram_counts", """
+SELECT field, gram, count(*) AS articles FROM (
+  SELECT DISTINCT article_id, field, substr(v, i, 3) AS gram FROM (
+    SELECT article_id, 'part_number' AS field, lower(part_number) AS v, unnest(range(1, length(part_number) - 1)) AS i FROM articles
+    UNION ALL
+    SELECT article_id, 'part_name', lower(part_name), unnest(range(1, length(part_name) - 1)) FROM articles
+    UNION ALL
+    SELECT article_id, 'article_manufacturer', lower(article_manufacturer), unnest(range(1, length(article_manufacturer) - 1)) FROM articles) x) y
+GROUP BY field, gram""", ("articles",))
+def s6g(t):
+    """The stored index itself."""
+    return t.grams.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("articles"))
