@@ -10,7 +10,7 @@ those articles.  Loading the same rounds twice gives the same tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_lake.operators.relational import with_parent
@@ -21,15 +21,14 @@ from catalog_lake.sources.schemas import PRIMARY_KEYS
 PROVENANCE = ["entity_type", "crawl_date", "round_no", "_file", "_row"]
 
 
-def _incoming(spark: SparkSession, rounds_root: str, entity: str, policy: str) -> tuple[DataFrame, tuple[int, int]] | None:
-    """The newest record per key, and what it leaves out: files without a row, records without a key."""
+def _incoming(spark: SparkSession, rounds_root: str, entity: str, policy: str) -> tuple[DataFrame, Observation] | None:
+    """The newest record per key, and the counts that its own scan of the rounds will have made."""
     if not rs._exists(spark, f"{rounds_root.rstrip('/')}/entity_type={entity}"):
         return None
-    r = rs.read_rounds(spark, rounds_root, entity)
     pk = PRIMARY_KEYS[entity]
-    lost = (rs.skipped_files(spark, rounds_root, entity, r).count(), r.filter(F.col(pk).isNull()).count())
+    r, seen = rs.counted(rs.read_rounds(spark, rounds_root, entity), pk)
     r = r.filter(F.col(pk).isNotNull())
-    return rs.dedup_rounds(r, pk, policy).drop(*[c for c in PROVENANCE if c in r.columns]), lost
+    return rs.dedup_rounds(r, pk, policy).drop(*[c for c in PROVENANCE if c in r.columns]), seen
 
 
 def _publish(spark: SparkSession, df: DataFrame, lake_root: str, entity: str, pk: str | tuple) -> int:
@@ -51,7 +50,7 @@ def load_rounds(spark: SparkSession, rounds_root: str, lake_root: str, policy: s
         if found is None:
             out.append((entity, "missing", 0, 0, 0, 0))
             continue
-        inc, lost = found
+        inc, seen = found
         pk = PRIMARY_KEYS[entity]
         skipped = 0
         if entity == "article_details":
@@ -62,7 +61,8 @@ def load_rounds(spark: SparkSession, rounds_root: str, lake_root: str, policy: s
         cur = rs.current(spark, lake_root, entity)
         new = inc if cur is None else upsert(cur, inc.select(*cur.columns), pk)
         rows = _publish(spark, new, lake_root, entity, pk)
-        out.append((entity, "loaded", rows, skipped, *lost))
+        lost = len(rs.listed_files(spark, rounds_root, entity)) - seen.get["files"]
+        out.append((entity, "loaded", rows, skipped, lost, seen.get["keyless"]))
         if entity == "article_details" and "compatible_cars" in inc.columns:
             children = explode_compat(inc)
             old = rs.current(spark, lake_root, "compatible_cars")

@@ -1,13 +1,19 @@
 """Keep-one windows (W), keyed maintenance (K1–K6, K8), counters (G9–G15), set ops (U), J7/J13."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_lake.operators import dedup as dd
 from catalog_lake.operators import relational as rel
 from catalog_lake.operators import upsert as up
+from catalog_lake.operators.keyed_table import KeyedTable
+from catalog_lake.operators.ordering import SortedPages
 from catalog_lake.plans import backfill as bf
 from catalog_lake.plans import rounds as rd
 from catalog_lake.queries.registry import register
+from catalog_lake.session import scratch
 from catalog_lake.streaming import incremental as inc
 
 A, D, C = "articles", "article_details", "compatible_cars"
@@ -117,6 +123,57 @@ def k8(t):
     return up.upsert(up.upsert(_target(t), s, "article_id"), s, "article_id")
 
 
+@register("k1_upsert_by_key_range", """
+SELECT o_orderkey, CASE WHEN o_orderkey <= 300 OR o_orderkey % 5000 = 7 THEN -1 ELSE o_custkey END AS o_custkey FROM orders
+UNION ALL SELECT -1, -1""")
+def k1_ranges(t):
+    """A table of files by key range, then a batch of the first keys, a few scattered ones and one below all."""
+    orders = t.table("orders").select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"))
+    table = KeyedTable(t.spark, scratch(t.spark, "keyed"), "o_orderkey", "o_orderkey bigint, o_custkey bigint", rows_per_file=1000)
+    table.overwrite(orders)
+    batch = orders.filter("o_orderkey <= 300 OR o_orderkey % 5000 = 7").select("o_orderkey", F.lit(-1).cast("bigint").alias("o_custkey"))
+    table.upsert(batch.unionByName(t.spark.range(1).selectExpr("-1L AS o_orderkey", "-1L AS o_custkey")))
+    return table.read()
+
+
+@register("k4_children_by_key_range", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey > 500
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey <= 500 AND l_orderkey % 2 = 0 AND l_linenumber = 1""")
+def k4_ranges(t):
+    """Lines by order: the orders up to 500 are loaded again, the even ones with one line, the odd ones with none."""
+    lines = t.table("lineitem").select(F.col("l_orderkey").cast("bigint"), "l_linenumber", "l_partkey")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema.fields)
+    table = KeyedTable(t.spark, scratch(t.spark, "keyed"), "l_orderkey", ddl, rows_per_file=5000)
+    table.overwrite(lines)
+    table.merge(lines.filter("l_orderkey <= 500 AND l_orderkey % 2 = 0 AND l_linenumber = 1"), lines.filter("l_orderkey <= 500").select("l_orderkey"))
+    return table.read()
+
+
+@register("t2_deep_pages", """
+WITH r AS (SELECT article_id, part_name, row_number() OVER (ORDER BY part_name, article_id) AS position, count(*) OVER () AS n FROM articles)
+SELECT article_id, part_name, position FROM r
+WHERE position <= 20 OR (position - 1) // 20 = (n // 2) // 20 OR (position - 1) // 20 = (n - 1) // 20""", (A,))
+def t2_deep(t):
+    """The first, the middle and the last page of all articles by name."""
+    pages = SortedPages.build(t.articles.select("article_id", "part_name"), ["part_name", "article_id"], f"{scratch(t.spark, 'pages')}/p")
+    numbers = sorted({1, (pages.total // 2) // 20 + 1, max(pages.total - 1, 0) // 20 + 1})
+    return reduce(DataFrame.unionByName, [pages.page(k, 20) for k in numbers])
+
+
+@register("i8_split_plan", """
+WITH plan AS (SELECT article_id, image_index, url FROM (
+        SELECT *, row_number() OVER (PARTITION BY article_id, url ORDER BY image_index) AS rn FROM (
+          SELECT article_id, unnest(image_urls) AS url, unnest(range(1, len(image_urls) + 1)) AS image_index
+          FROM article_details) e WHERE url <> '') x WHERE rn = 1)
+SELECT article_id, image_index, url, image_index % 3 = 1 AND article_id % 2 = 0 AS fetched FROM plan""", (D,))
+def i8_split(t):
+    """The image plan against a manifest: even articles fetched or cached some images, odd ones failed."""
+    plan = inc.image_plan(t.article_details).select("article_id", "image_index", "url")
+    status = F.when(F.col("article_id") % 2 == 1, "error").when(F.col("article_id") % 4 == 0, "cached").otherwise("downloaded")
+    done, todo = inc.split_plan(plan, plan.filter("image_index % 3 = 1").select("article_id", "url", status.alias("status")))
+    return done.withColumn("fetched", F.lit(True)).unionByName(todo.withColumn("fetched", F.lit(False)))
+
+
 @register("k2_insert_missing", _UPSERT_CTE + """
 SELECT * FROM target
 UNION ALL SELECT * FROM source s WHERE s.article_id IS NOT NULL

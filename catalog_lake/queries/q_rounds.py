@@ -52,3 +52,48 @@ def a8(t):
     rs.publish(t.spark, rs.write_snapshot(t.articles.select(*_COLS).filter("article_id % 2 = 0"), base, "articles"))
     rs.publish(t.spark, rs.write_snapshot(t.articles.select(*_COLS), base, "articles"))
     return rs.current(t.spark, base, "articles")
+
+
+@register("a4_a14_load_with_skip_report", """
+SELECT 'articles' AS entity, 'loaded' AS status, (SELECT count(*) FROM articles) AS "rows", 0 AS skipped, 3 AS skipped_files,
+       (SELECT count(*) FROM articles WHERE article_id % 50 = 0) AS keyless
+UNION ALL SELECT 'article_details', 'loaded', count(*) FILTER (WHERE article_id IN (SELECT article_id FROM articles)),
+       count(*) FILTER (WHERE article_id NOT IN (SELECT article_id FROM articles)), 0, 0 FROM article_details
+UNION ALL SELECT e, 'missing', 0, 0, 0, 0 FROM (VALUES ('manufacturers'), ('models'), ('car_types'), ('car_type_details'), ('category_groups')) v(e)""",
+          ("articles", "article_details"))
+def a4_a14(t):
+    """Two rounds loaded in dependency order: a part of the articles without a key, and among their files two of no
+    bytes and one of garbage, which the report counts from the load's own scan."""
+    from catalog_lake.plans.load import load_rounds
+    base = scratch(t.spark, "load")
+    articles = t.articles.select(*_COLS)
+    rs.write_round(articles.filter("article_id % 2 = 0"), f"{base}/rounds", "articles", "r1", max_records=500)
+    keyless = articles.filter("article_id % 50 = 0").withColumn("article_id", F.lit(None).cast("bigint"))
+    rs.write_round(articles.unionByName(keyless), f"{base}/rounds", "articles", "r2", max_records=500)
+    rs.write_round(t.article_details.select("article_id", "article_name", "article_number"), f"{base}/rounds", "article_details", "r1")
+    for name, data in (("a.parquet", b""), ("b.parquet", b""), ("c.parquet", b"PAR1 is not all it takes PAR2")):
+        fs, path, _ = rs._fs(t.spark, f"{base}/rounds/entity_type=articles/crawl_date=r2/{name}")
+        out = fs.create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    return load_rounds(t.spark, f"{base}/rounds", f"{base}/lake").select(
+        "entity", "status", "rows", "skipped", F.col("skipped_files").cast("int"), "keyless")
+
+
+@register("a14_load_all_snapshots", """
+SELECT 'articles' AS entity, 'loaded' AS status, count(*) AS "rows" FROM articles
+UNION ALL SELECT 'article_details', 'loaded', count(*) FROM article_details
+UNION ALL SELECT 'manufacturers', 'loaded', count(*) FROM manufacturers
+UNION ALL SELECT e, 'missing', 0 FROM (VALUES ('models'), ('car_types'), ('car_type_details'), ('category_groups')) v(e)""",
+          ("articles", "article_details", "manufacturers"))
+def a14(t):
+    """Published snapshots loaded in dependency order into tables; what was never published is named."""
+    base = scratch(t.spark, "lake")
+    for entity, rows in (("articles", t.articles.select(*_COLS)), ("manufacturers", t.manufacturers),
+                         ("article_details", t.article_details.select("article_id", "article_name"))):
+        rs.publish(t.spark, rs.write_snapshot(rows, base, entity))
+
+    def load(entity, df):
+        df.write.parquet(f"{base}/target/{entity}")
+        return t.spark.read.parquet(f"{base}/target/{entity}").count()
+    return rs.load_all(t.spark, base, load)

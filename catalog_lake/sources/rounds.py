@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +142,25 @@ def read_rounds(spark: SparkSession, root: str, entity: str, ignore_corrupt: boo
     return df.withColumn("crawl_date", label).withColumn("round_no", num)
 
 
+def listed_files(spark: SparkSession, root: str, entity: str) -> list[tuple[str, int]]:
+    """(path, bytes) of an entity's Parquet files as they lie on storage, zero-byte ones too."""
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/entity_type={entity}")
+    files = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        if st.getPath().getName().endswith(".parquet"):
+            files.append((st.getPath().toUri().toString(), int(st.getLen())))
+    return files
+
+
+def counted(rounds: DataFrame, pk: str) -> tuple[DataFrame, Observation]:
+    """A4 inside the caller's own scan: rounds that count, as they are read, the files they come from and
+    the records without a key.  A file that gave any row gave one with row index 0."""
+    seen = Observation()
+    return rounds.observe(seen, F.count_if(F.col("_row") == 0).alias("files"), F.count_if(F.col(pk).isNull()).alias("keyless")), seen
+
+
 def skipped_files(spark: SparkSession, root: str, entity: str, rounds: DataFrame) -> DataFrame:
     """A4: files present on storage that contributed no row (zero-byte, corrupt or empty).
 
@@ -149,14 +168,7 @@ def skipped_files(spark: SparkSession, root: str, entity: str, rounds: DataFrame
     (the data sources themselves hide zero-byte files, so they cannot list
     them); the comparison against the files rows came from is a join.
     """
-    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/entity_type={entity}")
-    files = []
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.endswith(".parquet"):
-            files.append((st.getPath().toUri().toString(), int(st.getLen())))
+    files = listed_files(spark, root, entity)
     # 'file:///x' and 'file:/x' name the same file (empty authority).
     norm = lambda c: F.regexp_replace(c, r"^([a-zA-Z][a-zA-Z0-9+.-]*):///", "$1:/")
     listing = spark.createDataFrame(files, "_file string, length long").withColumn("_key", norm(F.col("_file")))

@@ -64,6 +64,29 @@ def test_allowlist_matches_brute_force(spark):
     assert {r["name"] for r in kept} == {"CITROEN", "mercedes benz", "MERCEDESBENZ", "SKODA"}
 
 
+def test_allowlist_without_a_block_of_one_letter(spark):
+    """All names start with one letter: the same matches as brute force, from few pairs."""
+    import random
+    rnd = random.Random(12)
+    base = ["m" + "".join(rnd.choice("aeilnorstuv") for _ in range(rnd.randint(2, 18))) for _ in range(150)]
+
+    def vary(name):
+        chars = list(name)
+        for _ in range(rnd.randint(0, 3)):
+            k = rnd.randint(1, len(chars))
+            chars[k:k + rnd.randint(0, 1)] = rnd.choice(["", "x", "e", " ", "-"])
+        return "".join(chars) + rnd.choice(["", "", " motors", "o"])
+    cands = sorted({vary(rnd.choice(base)) for _ in range(250)} | {"m", "mann", "x" + base[0]})
+    cdf, adf = (spark.createDataFrame([(x,) for x in xs], "name string") for xs in (cands, base))
+    got = {r["name"]: r["match_kind"] for r in nm.allowlist_matches(cdf, "name", adf).collect()}
+    assert {c for c in cands if got[c]} == {c for c in cands if _brute_match(c, base)}
+    assert {"exact", "compact", "contains", "similar"} <= set(got.values())
+    mine = cdf.select(nm.normalize_name("name").alias("normalized")).withColumn("cand_compact", nm.compact_name("normalized"))
+    allowed = nm.prepare_allowlist(adf)
+    assert nm.similar_candidates(mine, allowed).count() < 0.1 * len(cands) * len(base)
+    assert nm.contained_candidates(mine, allowed).count() < 0.1 * len(cands) * len(base)
+
+
 def test_upsert_idempotent_and_null_keys(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     s = spark.createDataFrame([(2, "B"), (2, "B2"), (3, "c"), (None, "x")], "k long, v string")
