@@ -15,6 +15,12 @@ from catalog_lake.functions.text import ilike_contains
 from catalog_lake.operators.ordering import paginate_per
 
 
+def _ordered(df: DataFrame, literal, *order) -> DataFrame:
+    """The order of a served list.  The batch form, of every parent at once, is a set: whoever reads
+    it takes one parent's rows, and a global sort would cost a sampling pass and a range shuffle of all."""
+    return df if literal is None else df.orderBy(*order)
+
+
 def manufacturers(t, name: str | None = None) -> DataFrame:
     """Q1: manufacturer list, optional case-insensitive contains filter."""
     df = t.manufacturers
@@ -28,8 +34,8 @@ def models(t, manufacturer_id: int | None = None) -> DataFrame:
     df = t.model_series
     if manufacturer_id is not None:
         df = df.filter(F.col("manufacturer_id") == manufacturer_id)
-    return df.select("manufacturer_id", "model_series_id", "display_name", "model_native_name",
-                     "from_date", "to_date").orderBy("manufacturer_id", "display_name", "model_series_id")
+    out = df.select("manufacturer_id", "model_series_id", "display_name", "model_native_name", "from_date", "to_date")
+    return _ordered(out, manufacturer_id, "display_name", "model_series_id")
 
 
 def car_types(t, model_series_id: int | None = None) -> DataFrame:
@@ -37,9 +43,8 @@ def car_types(t, model_series_id: int | None = None) -> DataFrame:
     df = t.car_types
     if model_series_id is not None:
         df = df.filter(F.col("model_series_id") == model_series_id)
-    return df.select("model_series_id", "car_type_id", "type_label", "engine_code", "fuel_type",
-                     "year_from", "year_to").orderBy("model_series_id", "year_from", "type_label",
-                                                     "car_type_id")
+    out = df.select("model_series_id", "car_type_id", "type_label", "engine_code", "fuel_type", "year_from", "year_to")
+    return _ordered(out, model_series_id, "year_from", "type_label", "car_type_id")
 
 
 def category_tree(t, car_type_id: int | None = None) -> DataFrame:
@@ -58,9 +63,8 @@ def category_tree(t, car_type_id: int | None = None) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("articles")))
     g = t.groups.select(F.col("primary_group_name").alias("category"), "subcategory_name",
                         F.col("group_name").alias("sub_category"), "group_id")
-    return (counts.join(g, "group_id")
-            .select("car_type_id", "category", "subcategory_name", "sub_category", "group_id", "articles")
-            .orderBy("car_type_id", "category", "subcategory_name", "sub_category"))
+    out = counts.join(g, "group_id").select("car_type_id", "category", "subcategory_name", "sub_category", "group_id", "articles")
+    return _ordered(out, car_type_id, "category", "subcategory_name", "sub_category")
 
 
 def articles_for(t, car_type_id: int | None = None, group_id: int | None = None) -> DataFrame:
@@ -71,11 +75,9 @@ def articles_for(t, car_type_id: int | None = None, group_id: int | None = None)
         compat = compat.filter(F.col("car_type_id") == car_type_id)
     if group_id is not None:
         arts = arts.filter(F.col("group_id") == group_id)
-    return (arts.join(compat, "article_id")
-            .select("car_type_id", "group_id", "article_id", "part_name", "part_number",
-                    "article_manufacturer", "is_oem", "thumbnail_url")
-            .orderBy("car_type_id", "group_id", F.desc("is_oem"), "article_manufacturer", "part_name",
-                     "article_id"))
+    out = arts.join(compat, "article_id").select("car_type_id", "group_id", "article_id", "part_name", "part_number",
+                                                 "article_manufacturer", "is_oem", "thumbnail_url")
+    return _ordered(out, car_type_id, "group_id", F.desc("is_oem"), "article_manufacturer", "part_name", "article_id")
 
 
 def compat_counts(t) -> DataFrame:
@@ -83,6 +85,16 @@ def compat_counts(t) -> DataFrame:
     return t.compatible_cars.groupBy("article_id").agg(F.count(F.lit(1)).alias("compat_car_count"))
 
 
+def article_lists(t, article_id: int | None = None) -> DataFrame:
+    """Q6: the four lists of an article's details, empty where it has none or no details."""
+    a, d = t.articles.select("article_id"), t.article_details
+    if article_id is not None:
+        a, d = (x.filter(F.col("article_id") == article_id) for x in (a, d))
+    lists = ["ean_numbers", "oem_numbers", "technical_details", "image_urls"]
+    return a.join(d.select("article_id", *lists), "article_id", "left") \
+        .select("article_id", *[F.coalesce(c, F.array().cast(d.schema[c].dataType)).alias(c) for c in lists])
+
+
 def article_detail(t, article_id: int | None = None) -> DataFrame:
     """Q6: article ⟕ details with list sizes and the compatible-car count."""
     a = t.articles

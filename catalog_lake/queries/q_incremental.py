@@ -3,7 +3,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog_lake.operators.dedup import dense_ids
+from catalog_lake.operators.dedup import dense_ids, keep_one
 from catalog_lake.queries.registry import register
 from catalog_lake.session import scratch
 from catalog_lake.streaming import incremental as inc
@@ -46,6 +46,66 @@ def i4(t):
     return spark.read.parquet(f"{base}/dedup").select("pk")
 
 
+_CLEAN = "regexp_replace(url, '\\s+', '', 'g')"
+_LINKS = f"""links0 AS (SELECT DISTINCT expected_kind, {_CLEAN} AS url FROM catalog_urls WHERE {_CLEAN} <> ''),
+ok AS (SELECT url FROM links0 WHERE length(url) % 3 <> 0)"""
+_IN_SCOPE = "regexp_matches(url, '/lang-id-6(/|$)') AND regexp_matches(url, '/country-filter-id-145(/|$)') AND " \
+            "(regexp_matches(url, '/type-id-1(/|$)') OR url LIKE '%/passenger-car-type-details/%')"
+
+
+def _links_and_log(t):
+    """The catalogue's own urls as links, and a log in which a third failed at last, after a success."""
+    links = t.catalog_urls.select("url", "expected_kind")
+    clean = F.regexp_replace("url", r"\s+", "")
+    log = links.select(clean.alias("url")).filter("url <> ''").distinct()
+    failed = F.length("url") % 3 == 0
+    log = log.select("url", F.lit("2024-01-01").alias("timestamp"), F.lit(1).alias("event_id"), F.lit(200).alias("status_code")).unionByName(
+        log.filter(failed).select("url", F.lit("2024-01-02").alias("timestamp"), F.lit(2).alias("event_id"), F.lit(500).alias("status_code")))
+    return links, log
+
+
+@register("i1_frontier_in_scope", f"WITH {_LINKS} SELECT DISTINCT url FROM links0 WHERE {_IN_SCOPE} AND url NOT IN (SELECT url FROM ok)",
+          ("catalog_urls",))
+def i1_scope(t):
+    """Page links of all kinds, in and out of scope, some with blanks inside."""
+    links, log = _links_and_log(t)
+    return inc.plan_frontier(links, log, {"lang_id": 6, "country_id": 145, "type_id": 1})
+
+
+@register("i2_session_by_url_kind", f"""
+WITH {_LINKS} SELECT DISTINCT url, expected_kind IN ('manufacturer', 'model_series', 'category_page', 'other') AS is_nav FROM links0
+WHERE expected_kind IN ('manufacturer', 'model_series', 'category_page', 'other') OR url NOT IN (SELECT url FROM ok)""", ("catalog_urls",))
+def i2_kinds(t):
+    """Navigation pages by the kind of their url, leaf pages by the log."""
+    links, log = _links_and_log(t)
+    return inc.plan_session(links, log, inc.is_navigation("url"))
+
+
+@register("i4_survivors_and_bad_lines", """
+SELECT pk, row_pos, value, CAST(NULL AS VARCHAR) AS line FROM (
+  SELECT *, row_number() OVER (PARTITION BY pk ORDER BY (CAST(substr(round_label, 2) AS INT) - 1) // 10, row_pos) AS rn FROM rounds) x WHERE rn = 1
+UNION ALL SELECT NULL, NULL, NULL, concat('{"pk": ', row_pos, ', cut off') FROM rounds WHERE row_pos % 100 = 0""", ("rounds",))
+def i4_survivors(t):
+    """Rounds land ten at a time, each landing drained before the next; the first record per key survives, with its
+    values, and lines that do not parse are kept as they came."""
+    spark = t.spark
+    base = scratch(spark, "stream")
+    schema = "pk BIGINT, row_pos BIGINT, value DOUBLE"
+    drop = F.floor((F.substring("round_label", 2, 9).cast("int") - 1) / 10)
+    rounds = keep_one(t.rounds.withColumn("drop", drop), ["pk", "drop"], ["row_pos"])
+    broken = t.rounds.withColumn("drop", drop).filter("row_pos % 100 = 0").select("drop", F.concat(F.lit('{"pk": '), "row_pos", F.lit(", cut off")).alias("value"))
+    for k in range(10):
+        part = rounds.filter(F.col("drop") == k).select(F.to_json(F.struct("pk", "row_pos", "value")).alias("value"))
+        if k and part.isEmpty():
+            break
+        part.unionByName(broken.filter(F.col("drop") == k).select("value")).write.mode("append").text(f"{base}/landing")
+        inc.ingest_stream(spark, f"{base}/landing", f"{base}/rounds", f"{base}/ckpt-ingest", schema, "events", crawl_date="2024-01-31")
+        stream = inc.good(spark.readStream.schema(f"{schema}, {inc.CORRUPT} STRING").parquet(f"{base}/rounds"))
+        inc.run_to_table(inc.dedup_stream(stream, "pk"), f"{base}/dedup", f"{base}/ckpt-dedup")
+    kept = spark.read.parquet(f"{base}/dedup").select("pk", "row_pos", "value", F.lit(None).cast("string").alias("line"))
+    return kept.unionByName(inc.bad_lines(spark.read.parquet(f"{base}/rounds")), allowMissingColumns=True)
+
+
 @register("i7_observed_counters", """
 SELECT count(*) AS records, count(*) FILTER (WHERE pk IS NULL) AS missing_key FROM rounds""", ("rounds",))
 def i7(t):

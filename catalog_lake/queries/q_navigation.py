@@ -69,6 +69,20 @@ def q6(t):
     return nav.article_detail(t)
 
 
+@register("q6_article_lists", """
+SELECT a.article_id, coalesce(array_to_string(ean_numbers, '|'), '') AS eans, coalesce(array_to_string(image_urls, '|'), '') AS images,
+       coalesce(array_to_string(list_transform(oem_numbers, lambda o: concat(o.brand, ':', o.number)), '|'), '') AS oems,
+       coalesce(array_to_string(list_transform(technical_details, lambda kv: concat(kv.key, '=', kv.value)), '|'), '') AS tech
+FROM articles a LEFT JOIN article_details d USING (article_id)""", ("articles", "article_details"))
+def q6_lists(t):
+    from pyspark.sql import functions as F
+    pair = lambda x, a, b, sep: F.transform(x, lambda y: F.concat(y[a], F.lit(sep), y[b]))
+    return nav.article_lists(t).select(
+        "article_id", F.array_join("ean_numbers", "|").alias("eans"), F.array_join("image_urls", "|").alias("images"),
+        F.array_join(pair("oem_numbers", "brand", "number", ":"), "|").alias("oems"),
+        F.array_join(pair("technical_details", "key", "value", "="), "|").alias("tech"))
+
+
 @register("q6_first_article_detail", _Q6 + """
 WHERE a.article_id = (SELECT min(article_id) FROM articles)""",
           ("articles", "article_details", "compatible_cars"))

@@ -1,6 +1,10 @@
 """Data-quality suite V1–V18 and dimension backfill K5/K7 (+ V14)."""
 
 
+from types import SimpleNamespace
+
+from pyspark.sql import functions as F
+
 from catalog_lake.plans import backfill as bf
 from catalog_lake.plans import quality as dq
 from catalog_lake.queries.registry import register
@@ -33,6 +37,19 @@ def v2b(t):
     return dq.duplicate_keys(t)["article_details"]
 
 
+@register("v2_planted_duplicates", """
+SELECT 'articles' AS entity, article_id, CASE WHEN article_id % 20 = 0 THEN 3 ELSE 2 END AS n FROM articles WHERE article_id % 10 = 0
+UNION ALL SELECT 'article_details', article_id, 2 FROM article_details WHERE article_id % 15 = 0""", (A, D))
+def v2p(t):
+    """Articles and details of which some came two or three times."""
+    a, d = t.articles, t.article_details
+    twice = SimpleNamespace(articles=a.unionByName(a.filter("article_id % 10 = 0")).unionByName(a.filter("article_id % 20 = 0")),
+                            article_details=d.unionByName(d.filter("article_id % 15 = 0")), compatible_cars=t.compatible_cars)
+    found = dq.duplicate_keys(twice, top=None)
+    return found["articles"].unionByName(found["article_details"].withColumn("entity", F.lit("article_details")), allowMissingColumns=True) \
+        .select(F.coalesce("entity", F.lit("articles")).alias("entity"), "article_id", F.col("n").cast("int"))
+
+
 @register("v2_g3_duplicate_compat_rows", """
 SELECT article_id, car_type_id, engine_or_variant, year_from, year_to, count(*) AS n
 FROM compatible_cars GROUP BY article_id, car_type_id, engine_or_variant, year_from, year_to

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog_lake.queries.registry import register
 from catalog_lake.session import scratch
+from catalog_lake.sources import files
 from catalog_lake.sources import rounds as rs
 
 A = ("articles",)
@@ -97,3 +98,47 @@ def a14(t):
         df.write.parquet(f"{base}/target/{entity}")
         return t.spark.read.parquet(f"{base}/target/{entity}").count()
     return rs.load_all(t.spark, base, load)
+
+
+@register("a10_stored_pages", "SELECT page_id, url, length(html) AS chars FROM pages")
+def a10(t):
+    path = f"{scratch(t.spark, 'pages')}/stored"
+    t.table("pages").withColumn("fetched", F.lit("today")).write.parquet(path)
+    return files.read_pages(t.spark, path).select("page_id", "url", F.length("html").cast("bigint").alias("chars"))
+
+
+@register("a11_allowlist_file", "SELECT manufacturer_name AS name FROM manufacturers", ("manufacturers",))
+def a11(t):
+    """Names in a text file, among blank lines and comments."""
+    path = f"{scratch(t.spark, 'allow')}/names"
+    t.manufacturers.select(F.concat(F.lit("# next\n\n  "), "manufacturer_name", F.lit(" ")).alias("value")).coalesce(1).write.text(path)
+    return files.read_allowlist(t.spark, f"{path}/*.txt").select("name")
+
+
+@register("a15_blank_lines", _SELECT, A)
+def a15(t):
+    """Blank lines between the records of a store are no records."""
+    base = scratch(t.spark, "blank")
+    t.articles.select(F.concat(F.lit("\n"), F.to_json(F.struct(*_COLS)), F.lit("\n  ")).alias("value")).write.text(f"{base}/articles")
+    return rs.read_entity(t.spark, f"{base}/articles", "articles").select(*_COLS)
+
+
+@register("a16_manifest_appended", """
+SELECT article_id, concat('u', article_id) AS url, CASE WHEN article_id % 2 = 0 THEN 'downloaded' ELSE 'error' END AS status FROM articles
+UNION ALL SELECT article_id, concat('u', article_id), 'cached' FROM articles WHERE article_id % 2 = 1""", A)
+def a16(t):
+    """A second run appends the images that the first one missed."""
+    path = f"{scratch(t.spark, 'manifest')}/m"
+    rows = t.articles.select("article_id", F.concat(F.lit("u"), "article_id").alias("url"))
+    files.append_manifest(rows.withColumn("status", F.when(F.col("article_id") % 2 == 0, "downloaded").otherwise("error")), path)
+    files.append_manifest(rows.filter("article_id % 2 = 1").withColumn("status", F.lit("cached")), path)
+    return t.spark.read.schema("article_id bigint, url string, status string").json(path)
+
+
+@register("d29_round_labels_as_text", "SELECT article_id, CASE WHEN article_id % 2 = 0 THEN '20240101' ELSE '2024-01-02' END AS crawl_date FROM articles", A)
+def d29(t):
+    """Round labels that look like numbers and ones that do not come back as text."""
+    base = scratch(t.spark, "labels")
+    for k, label in enumerate(("20240101", "2024-01-02")):
+        rs.write_round(t.articles.select(*_COLS).filter(F.col("article_id") % 2 == k), base, "articles", label)
+    return rs.read_rounds(t.spark, base, "articles").select("article_id", "crawl_date")

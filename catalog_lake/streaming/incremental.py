@@ -41,6 +41,16 @@ def plan_frontier(links: DataFrame, log: DataFrame, scope: dict | None = None, u
     return l.distinct().join(seen_ok(log), url, "left_anti")
 
 
+#: Pages that only lead to others; they change as the catalogue grows, so every session visits them.
+NAVIGATION_KINDS = ("manufacturer", "model_series", "category_page")
+
+
+def is_navigation(url: Column | str = "url") -> Column:
+    """Whether a url is of a navigation page, by its kind; an unknown url is a list of manufacturers."""
+    kind = url_kind(url)
+    return kind.isNull() | kind.isin(*NAVIGATION_KINDS)
+
+
 def plan_session(links: DataFrame, log: DataFrame, is_nav: Column, url: str = "url") -> DataFrame:
     """Navigation pages are planned once per session regardless of the log;
     leaf pages only when not yet fetched OK."""
@@ -109,14 +119,30 @@ def discover_links(pages: DataFrame, base_url: str | None = None) -> DataFrame:
 
 
 # -- I4 / I5 / I6 / I7: streaming ------------------------------------------------
+CORRUPT = "_corrupt_record"
+
+
+def good(rounds: DataFrame) -> DataFrame:
+    """The records of ingested rounds, without the lines that did not parse."""
+    return rounds.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def bad_lines(rounds: DataFrame) -> DataFrame:
+    """The lines of ingested rounds that did not parse."""
+    return rounds.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+
+
 def ingest_stream(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType | str,
                   entity: str, crawl_date: str | None = None, max_files: int | None = None):
     """I4: landing JSONL -> partitioned Parquet rounds, exactly once, then stop.
 
     Returns the finished ``StreamingQuery`` (``availableNow`` processes what
-    has landed, in as many micro-batches as ``max_files`` allows).
+    has landed, in as many micro-batches as ``max_files`` allows).  A line that does not
+    parse is a row too, with its text in ``_corrupt_record`` (see ``good`` and ``bad_lines``).
     """
-    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
+    known = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kept = T.StructType([*known.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     df = reader.json(src)
