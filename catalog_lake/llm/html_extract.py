@@ -83,6 +83,7 @@ class Page(HTMLParser):
         self.tag, self.parent, self.words, self.hidden = ["#page"], [0], [frozenset()], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (element, text), or None where a block begins or ends
         self.stack = [0]
+        self.depths: dict[str, list[int]] = {}  # where the open elements of a tag are in the stack
         self.skipped: list[tuple[str, int]] = []  # the skipped element and what is open in it: tag, number or -1
         self.n_skipped = 0
         self.feed(html)
@@ -101,6 +102,7 @@ class Page(HTMLParser):
         self.parent.append(self.stack[-1])
         self.words.append(frozenset(words))
         self.hidden.append(hidden)
+        self.depths.setdefault(tag, []).append(len(self.stack))
         self.stack.append(len(self.tag) - 1)
 
     def _give_up(self, depth: int) -> None:
@@ -125,18 +127,14 @@ class Page(HTMLParser):
     def _pop_to(self, depth: int) -> None:
         while len(self.stack) > depth:
             e = self.stack.pop()
+            self.depths[self.tag[e]].pop()
             if self.tag[e] not in INLINE:
                 self.pieces.append((e, None))
 
     def _find(self, tag: str, until: tuple[str, ...]) -> int:
         """Depth of the innermost open ``tag`` that no tag of ``until`` encloses; 0 for none."""
-        for depth in range(len(self.stack) - 1, 0, -1):
-            name = self.tag[self.stack[depth]]
-            if name == tag:
-                return depth
-            if name in until:
-                break
-        return 0
+        depth = (self.depths.get(tag) or (0,))[-1]
+        return 0 if any(at[-1] > depth for u in until if u != tag and (at := self.depths.get(u))) else depth
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self._skip(tag):

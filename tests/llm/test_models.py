@@ -1,6 +1,7 @@
 """Toxicity chain (5), HTML extraction (7), token counts (6)."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -155,6 +156,35 @@ def trees(spark):
     return html_extract.fit(html_extract.training_rows(pages))
 
 
+def _find_by_walk(page, tag, until):
+    """The innermost open tag, found by going down the stack."""
+    for depth in range(len(page.stack) - 1, 0, -1):
+        name = page.tag[page.stack[depth]]
+        if name == tag:
+            return depth
+        if name in until:
+            return 0
+    return 0
+
+
+def test_open_tags_are_found_without_a_walk(monkeypatch):
+    rnd, find, seen = random.Random(5), html_extract.Page._find, []
+
+    def both(page, tag, until):
+        seen.append(find(page, tag, until))
+        assert seen[-1] == _find_by_walk(page, tag, until)
+        return seen[-1]
+    with monkeypatch.context() as m:
+        m.setattr(html_extract.Page, "_find", both)
+        tags = ["div", "p", "li", "ul", "td", "tr", "table", "b", "a", "article", "dt", "dd", "h1", "body", "option", "select"]
+        for _ in range(300):
+            html_extract.Page("".join(rnd.choice(["<", "</"]) + rnd.choice(tags) + ">" + rnd.choice(["", "x"]) for _ in range(rnd.randint(0, 40))))
+    assert sum(map(bool, seen)) > 300
+    start = time.time()
+    page = html_extract.Page("<div>" * 200_000 + "deep" + "</div>" * 100_000 + "<p>end")
+    assert len(page.tag) == 200_002 and time.time() - start < 20
+
+
 def test_extraction(spark, trees):
     from tests.conftest import SF_SMALL
     pars = ["First part, with a <b>bold</b>&nbsp;word &amp; more than\n a line of text in it.", "Second part of the story: it goes on for a while, "
