@@ -207,6 +207,14 @@ def search(articles: DataFrame, postings: DataFrame, compat: DataFrame, q: str =
     return rows, total
 
 
+def with_numbers(rows: DataFrame, details: DataFrame) -> DataFrame:
+    """a page of results with the article number of its details (null without any), in the page's order.
+
+    Joined after the page is cut, so the details are read for at most a page of articles."""
+    order = [F.desc_nulls_last("relevance"), "article_id"]
+    return rows.join(details.select("article_id", "article_number"), "article_id", "left").orderBy(*order)
+
+
 def index_health(articles: DataFrame, postings: DataFrame) -> DataFrame:
     """Articles that have at least one posting vs all articles."""
     with_vec = articles.join(postings.select("article_id"), "article_id", "left_semi")

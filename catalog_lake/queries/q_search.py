@@ -122,6 +122,16 @@ def q9(t):
                        "thumbnail_url", "details_url", "relevance").crossJoin(total)
 
 
+@register("q9_f15_with_article_numbers", f"""
+WITH m AS (SELECT a.article_id, a.part_name, round(coalesce(r.relevance, 0.0), 6) AS relevance
+           FROM articles a JOIN ({_where(f"{_PLATE} AND NOT {_RED}")}) m USING (article_id) LEFT JOIN ({_rank("plate")}) r USING (article_id)
+           ORDER BY relevance DESC, a.article_id LIMIT 100)
+SELECT m.article_id, part_name, relevance, article_number FROM m LEFT JOIN article_details d USING (article_id)""", V + ("compatible_cars",))
+def q9n(t):
+    rows, _ = sx.search(t.articles, _postings(t), t.compatible_cars, q="plate -red", limit=100)
+    return sx.with_numbers(rows.select("article_id", "part_name", "relevance"), t.article_details)
+
+
 @register("q9_t4_search_without_text", f"""
 SELECT {_Q9_COLS}, CAST(NULL AS DOUBLE) AS relevance,
        (SELECT count(*) FROM articles WHERE NOT is_oem) AS total
