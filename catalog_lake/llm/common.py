@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_lake.session import checkpoint_dir, ship_code
+from catalog_lake.session import checkpoint_dir, scratch, ship_code
 
 # The blanks between words: space and the five ASCII controls tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -30,6 +33,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as a Parquet table in the shared folder, which goes at the end of the block."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def text_key(text: str | Column) -> Column:
     """128 bits that tell two texts apart; with the document's id they name a row up to exact repeats."""
     c = F.col(text) if isinstance(text, str) else text

@@ -26,13 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog_lake.llm.common import cut, text_key
+from catalog_lake.llm.common import cut, text_key, written
 from catalog_lake.llm.repeats import code_of, distinct_texts, identify, persist_in_place, repeated, unpack
 
 LENGTH = 50
 GRAM = 16
 #: Suffixes that a bucket sorts together, unless one group alone has more.
 SUFFIXES = 400_000
+#: Rows that the multikey quicksort no longer splits around a pivot.
+SMALL = 1 << 14
 _U = np.uint64
 
 
@@ -72,27 +74,43 @@ def stretches(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarr
     return first, np.append(first[1:], len(low)), low[first], grams
 
 
-def multikey_sort(words: list[np.ndarray]) -> np.ndarray:
-    """Each row's rank: how many rows have smaller words; only ties go on to the next word.
-
-    The multikey quicksort with an 8-byte word as character: one word sorts the rows,
-    and rows that are alone in their run are never looked at again.  Equal rows share a rank.
-    """
-    rank = np.zeros(len(words[0]), np.int64)
-    open_rows = np.arange(len(rank))
+def _sort_small(words: list[np.ndarray], rows: np.ndarray, rank: np.ndarray) -> None:
+    """Rank the few ``rows`` among themselves, a word at a time; ``rank`` holds what they start from."""
     for word in words:
-        if not len(open_rows):
-            break
-        sub = open_rows[np.lexsort((word[open_rows], rank[open_rows]))]
+        if not len(rows):
+            return
+        sub = rows[np.lexsort((word[rows], rank[rows]))]
         r, w = rank[sub], word[sub]
-        new = np.concatenate([[True], (r[1:] != r[:-1]) | (w[1:] != w[:-1])])
-        begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        base = np.repeat(begin, np.diff(np.append(begin, len(r))))
-        runs = np.flatnonzero(new)
+        new_run = np.concatenate([[True], r[1:] != r[:-1]])
+        runs = np.flatnonzero(new_run | np.concatenate([[True], w[1:] != w[:-1]]))
+        begin = np.maximum.accumulate(np.where(new_run, np.arange(len(sub)), 0))
         size = np.diff(np.append(runs, len(sub)))
-        start = np.repeat(runs, size)
-        rank[sub] = r + (start - base)  # the old run's rank and the rows before it in that run
-        open_rows = sub[np.repeat(size, size) > 1]
+        rank[sub] = r + np.repeat(runs, size) - begin  # the old run's rank and the rows before it in that run
+        rows = sub[np.repeat(size, size) > 1]
+
+
+def multikey_sort(words: list[np.ndarray], small: int = SMALL) -> np.ndarray:
+    """Each row's rank: how many rows have smaller words.  Equal rows share a rank.
+
+    Multikey quicksort with an 8-byte word as character: a run of rows is split around a
+    pivot word into smaller, equal and larger ones; only the equal ones go on to the next
+    word.  Runs of at most ``small`` rows are sorted at once.
+    """
+    rank = np.zeros(len(words[0]), np.int64)
+    runs = [(np.arange(len(rank)), 0)]
+    while runs:
+        rows, k = runs.pop()
+        if k == len(words) or len(rows) < 2:
+            continue
+        if len(rows) <= small:
+            _sort_small(words[k:], rows, rank)
+            continue
+        w = words[k][rows]
+        pivot = np.sort(w[np.linspace(0, len(w) - 1, 9).astype(int)])[4]
+        less, same, more = rows[w < pivot], rows[w == pivot], rows[w > pivot]
+        rank[same] += len(less)
+        rank[more] += len(less) + len(same)
+        runs += [(less, k), (same, k + 1), (more, k)]
     return rank
 
 
@@ -249,8 +267,10 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", len
     texts = persist_in_place(distinct_texts(docs, reps.select("doc", "v", "ta", "tb"), doc, text))
     repeats = cut(repeated(texts, lambda t: stretches(t, length, gram)[2]))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = cut(_suffixes(texts, repeats, length, gram).repartitionByRange(n, "w1", "w2", "doc")
-                .mapInArrow(lambda it: _compare(it, length), "doc bigint, v int, start int, end int, a bigint, b bigint"))
+    # Written first: sampling the splitters would else make the suffixes a second time.
+    with written(_suffixes(texts, repeats, length, gram), "suffixes") as suffixes:
+        found = cut(suffixes.repartitionByRange(n, "w1", "w2", "doc").mapInArrow(
+            lambda it: _compare(it, length), "doc bigint, v int, start int, end int, a bigint, b bigint"))
     here = found.where("a is null").select("doc", "v", "start", "end")
     ends = found.where("a is not null")
     low = ends.groupBy("a", "b").agg(F.min("doc").alias("low"))

@@ -64,12 +64,15 @@ def test_many_documents_share_one_passage(spark, make_docs):
     assert sorted((tuple(r) for r in out.collect()), key=str) == _brute(rows)
 
 
-def test_multikey_sort_ranks():
+@pytest.mark.parametrize("small", [1, 7, 10_000])
+@pytest.mark.parametrize("values", [1, 3, 1 << 60])
+def test_multikey_sort_ranks(small, values):
     rng = np.random.default_rng(2)
-    words = [rng.integers(0, 3, 500).astype(np.uint64) for _ in range(4)]
-    rank = suffix_dedup.multikey_sort(words)
+    words = [rng.integers(0, values, 500).astype(np.uint64) for _ in range(4)]
+    rank = suffix_dedup.multikey_sort(words, small)
     rows = list(zip(*[w.tolist() for w in words], strict=True))
     assert rank.tolist() == [sum(o < r for o in rows) for r in rows]
+    assert len(suffix_dedup.multikey_sort([np.empty(0, np.uint64)] * 2, small)) == 0
 
 
 def test_compact_windows_are_the_minima_of_all_ranges():
