@@ -182,3 +182,45 @@ def test_short_passages_of_few_words():
         a, b = _say(rnd, rnd.randint(0, 20)) + part, other + _say(rnd, rnd.randint(0, 20))
         xa, xb = (substring_dedup.shingles(" ".join(w).encode()) for w in (a, b))
         assert bool(substring_dedup.passages(xa, xb, 46, 0.8)) >= _similar(a, b)
+
+
+def test_repeated_words_make_few_windows():
+    """Equal words, and a word pair that alternates: one row per run and function."""
+    for words in (["word"] * 20_000, ["one", "two", "three"] * 7_000, _say(random.Random(1), 300) + ["word"] * 20_000):
+        x = substring_dedup.shingles(" ".join(words).encode())
+        sig, at = substring_dedup._signatures(x, 46, 6)
+        assert len(sig) <= 6 * 60 and (at[:, 1] <= at[:, 2]).all() and (at[:, 2] <= at[:, 3]).all() and (at[:, 3] < at[:, 4]).all()
+        v = substring_dedup._mix(x ^ substring_dedup._SEEDS[0])
+        mine = at[:, 0] == 0
+        assert (v[at[mine, 2]] == sig[mine]).all() and (v[at[mine, 3]] == sig[mine]).all()
+
+
+def test_documents_of_repeated_words_are_linked(spark, make_docs):
+    """Long runs of equal words in several documents, alone and inside other text."""
+    rnd = random.Random(15)
+    own = {i: _say(rnd, 120) for i in range(5)}
+    texts = {0: ["word"] * 20_000, 1: ["word"] * 500, 2: own[0] + ["word"] * 20_000 + own[1], 3: own[2] + ["word"] * 60 + own[3],
+             4: ["left", "right"] * 5_000, 5: own[4] + ["left", "right"] * 400, 6: _say(rnd, 400)}
+    out, links = substring_dedup.near_duplicate_passages(make_docs([(i, " ".join(w)) for i, w in texts.items()]))
+    got = {r["doc"]: (r["class_id"], r["n_links"]) for r in out.collect()}
+    assert got == {0: (0, 3), 1: (0, 3), 2: (0, 3), 3: (0, 3), 4: (4, 1), 5: (4, 1), 6: (6, 0)}
+    words = {r["doc"]: r["n_words"] for r in out.collect()}
+    assert words[0] == 20_000 and words[1] == 500 and words[4] == 10_000 and 20_000 <= words[2] < 20_240 and words[6] == 0
+
+
+def test_recall_of_planted_near_passages(spark, make_docs):
+    """Pairs of passages of 60 to 120 words with edits, at a similarity of 0.8 or a little more, inside other words."""
+    rnd = random.Random(16)
+    rows, pairs = [], 120
+    for k in range(pairs):
+        n = rnd.randint(60, 120)
+        passage = _say(rnd, n)
+        edited = list(passage)
+        for at in rnd.sample(range(n), max(1, n // 60)):
+            edited[at] += "x"
+        rows += [(2 * k, " ".join(_say(rnd, rnd.randint(20, 300)) + passage + _say(rnd, rnd.randint(20, 300)))),
+                 (2 * k + 1, " ".join(_say(rnd, rnd.randint(20, 300)) + edited + _say(rnd, rnd.randint(20, 300))))]
+    out, _ = substring_dedup.near_duplicate_passages(make_docs(rows))
+    root = {r["doc"]: r["class_id"] for r in out.collect()}
+    found = sum(root[2 * k] == root[2 * k + 1] for k in range(pairs))
+    assert found >= 0.9 * pairs and all(root[2 * k] == 2 * k for k in range(pairs))
