@@ -75,14 +75,17 @@ def test_multikey_sort_ranks(small, values):
     assert len(suffix_dedup.multikey_sort([np.empty(0, np.uint64)] * 2, small)) == 0
 
 
-def test_compact_windows_are_the_minima_of_all_ranges():
-    rng = np.random.default_rng(5)
-    v = rng.permutation(60).astype(np.uint64)
+@pytest.mark.parametrize("values", [1, 2, 7, 1 << 40])
+def test_compact_windows_are_the_minima_of_all_ranges(values):
+    """Every range of at least the width lies in one window whose minimum is its own, the leftmost of equal ones."""
+    v = np.random.default_rng(5).integers(0, values, 60).astype(np.uint64)
     nodes = substring_dedup.compact_windows(v, 7)
     for lo in range(60):
         for hi in range(lo + 7, 61):
             c = lo + int(v[lo:hi].argmin())
             assert sum(n[1] == c and n[0] <= lo and hi <= n[2] for n in nodes) == 1
+    assert all(hi - lo >= 7 and v[lo:hi].argmin() == c - lo for lo, c, hi in nodes)
+    assert substring_dedup.compact_windows(v[:6], 7) == []
 
 
 def test_planted_passages_are_linked_and_clean_documents_left(spark, make_docs, clash):
