@@ -27,6 +27,7 @@ from catalog_lake.operators.dedup import keep_one
 from catalog_lake.sources.rounds import _fs
 
 ROWS_PER_FILE = 2_000_000
+FEW_TASKS = 200
 
 
 @dataclass(frozen=True)
@@ -91,9 +92,18 @@ class KeyedTable:
         rows = rows.filter(F.col(self.key).isNotNull()).select(*T.StructType.fromDDL(self.ddl).fieldNames())
         n = max(1, -(-rows.count() // self.rows_per_file))
         path = f"{self.folder}/data/{uuid.uuid4().hex}"
-        rows.repartitionByRange(n, self.key).sortWithinPartitions(self.key).write.parquet(path)
+        # A task writes many files, one after the other in the order of the key: tasks follow the rows, not the files,
+        # as what a task reports to the driver is far larger than a file's line in the manifest.
+        tasks = self._tasks(n, n * self.rows_per_file)
+        rows.repartitionByRange(tasks, self.key).sortWithinPartitions(self.key) \
+            .write.option("maxRecordsPerFile", self.rows_per_file if tasks < n else 0).parquet(path)
         self._publish(self._slots_of(path))
 
+    def _tasks(self, files: int, rows: int) -> int:
+        """How many tasks write so many files: one each up to FEW_TASKS or the usual number, then as many as the rows ask for."""
+        usual = max(FEW_TASKS, int(self.spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        return max(1, min(files, max(usual, -(-rows // ROWS_PER_FILE))))
+
     def _slots_of(self, path: str) -> list[Slot]:
         """The slots of newly written files; files that share a key are one slot."""
         rows = self.spark.read.schema(self.ddl).parquet(path).groupBy(F.col("_metadata.file_path").alias("file")) \
@@ -142,8 +152,9 @@ class KeyedTable:
         rows = self._with_slot(old.unionByName(batch), slots)
         path = f"{self.folder}/data/{uuid.uuid4().hex}"
         # Ranges of (slot, key): a slot with many rows takes several tasks; a file that doubles is split.
-        n = max(len(touched), -(-sum(slots[i].rows for i in touched) // (2 * self.rows_per_file)))
-        rows.repartitionByRange(n, "_slot", self.key).sortWithinPartitions("_slot", self.key) \
+        held = sum(slots[i].rows for i in touched)
+        n = max(len(touched), -(-held // (2 * self.rows_per_file)))
+        rows.repartitionByRange(self._tasks(n, held), "_slot", self.key).sortWithinPartitions("_slot", self.key) \
             .write.option("maxRecordsPerFile", 2 * self.rows_per_file).partitionBy("_slot").parquet(path)
         self._publish([s for i, s in enumerate(slots) if i not in set(touched)] + self._slots_of(path))
         return len(touched)

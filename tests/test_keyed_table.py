@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from catalog_lake.operators.keyed_table import KeyedTable
+from catalog_lake.operators.keyed_table import FEW_TASKS, KeyedTable
 
 
 def files(t):
@@ -62,3 +62,15 @@ def test_children_of_a_hot_parent(spark, tmp_path):
     assert t.merge(spark.range(500).selectExpr("7L AS p", "-id AS c"), spark.createDataFrame([(7,), (2000,)], "p long")) == 2
     assert t.find([7]).count() == 500 and t.find([2000]).count() == 0 and t.read().count() == 500 + 1999
     assert len(next(s for s in t.slots() if s.low <= 7 <= s.high).files) >= 3
+
+
+def test_tasks_follow_rows_not_files(spark, tmp_path):
+    """Far more files than tasks, and still ranges that do not overlap."""
+    t = KeyedTable(spark, str(tmp_path), "k", "k long, v long", rows_per_file=10)
+    t.overwrite(spark.range(0, 3000).selectExpr("id AS k", "id AS v"))
+    tasks = FEW_TASKS
+    assert t._tasks(300, 3000) == tasks and len({f.rsplit("/", 1)[1][:10] for f in files(t)}) <= tasks
+    slots = t.slots()
+    assert len(slots) >= 300 and all(a.high < b.low for a, b in zip(slots, slots[1:], strict=False))
+    assert t.upsert(spark.range(0, 3000, 20).selectExpr("id AS k", "-1L AS v")) >= 100
+    assert rows(t) == [(k, -1 if k % 20 == 0 else k) for k in range(3000)]
