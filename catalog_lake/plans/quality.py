@@ -49,11 +49,9 @@ def summary_counts(t) -> DataFrame:
 COMPAT_DUP_KEY = ["article_id", "car_type_id", "engine_or_variant", "year_from", "year_to"]
 
 
-def duplicate_keys(t, top: int | None = 20) -> dict[str, DataFrame]:
-    """V2: duplicate keys of articles, details and compat rows (expected: none)."""
-    return {"articles": rel.duplicates(t.articles, ["article_id"], top),
-            "article_details": rel.duplicates(t.article_details, ["article_id"], top),
-            "compatible_cars": rel.duplicates(t.compatible_cars, COMPAT_DUP_KEY, top)}
+def duplicate_keys(t, top: int | None = 20, entities: Sequence[str] = ("articles", "article_details", "compatible_cars")) -> dict[str, DataFrame]:
+    """V2: duplicate keys of articles, details and compat rows (expected: none); only the tables of ``entities`` are bound."""
+    return {name: rel.duplicates(getattr(t, name), COMPAT_DUP_KEY if name == "compatible_cars" else ["article_id"], top) for name in entities}
 
 
 def orphan_counts(t) -> DataFrame:

@@ -27,14 +27,14 @@ def v1(t):
 SELECT article_id, count(*) AS n FROM articles GROUP BY article_id HAVING count(*) > 1
 ORDER BY n DESC, article_id LIMIT 20""", (A,))
 def v2a(t):
-    return dq.duplicate_keys(t)["articles"]
+    return dq.duplicate_keys(t, entities=[A])[A]
 
 
 @register("v2_duplicate_details", """
 SELECT article_id, count(*) AS n FROM article_details GROUP BY article_id HAVING count(*) > 1
 ORDER BY n DESC, article_id LIMIT 20""", (D,))
 def v2b(t):
-    return dq.duplicate_keys(t)["article_details"]
+    return dq.duplicate_keys(t, entities=[D])[D]
 
 
 @register("v2_planted_duplicates", """
@@ -44,8 +44,8 @@ def v2p(t):
     """Articles and details of which some came two or three times."""
     a, d = t.articles, t.article_details
     twice = SimpleNamespace(articles=a.unionByName(a.filter("article_id % 10 = 0")).unionByName(a.filter("article_id % 20 = 0")),
-                            article_details=d.unionByName(d.filter("article_id % 15 = 0")), compatible_cars=t.compatible_cars)
-    found = dq.duplicate_keys(twice, top=None)
+                            article_details=d.unionByName(d.filter("article_id % 15 = 0")))
+    found = dq.duplicate_keys(twice, top=None, entities=[A, D])
     return found["articles"].unionByName(found["article_details"].withColumn("entity", F.lit("article_details")), allowMissingColumns=True) \
         .select(F.coalesce("entity", F.lit("articles")).alias("entity"), "article_id", F.col("n").cast("int"))
 
@@ -56,7 +56,7 @@ FROM compatible_cars GROUP BY article_id, car_type_id, engine_or_variant, year_f
 HAVING count(*) > 1""", (C,))
 def v2c(t):
     """All duplicate five-column keys (the full G3 group, no top-k)."""
-    return dq.duplicate_keys(t, top=None)["compatible_cars"]
+    return dq.duplicate_keys(t, top=None, entities=[C])[C]
 
 
 @register("v2_duplicate_compat_top20", """
@@ -65,7 +65,7 @@ FROM compatible_cars GROUP BY article_id, car_type_id, engine_or_variant, year_f
 HAVING count(*) > 1
 ORDER BY n DESC, article_id, car_type_id, engine_or_variant, year_from, year_to LIMIT 20""", (C,))
 def v2d(t):
-    return dq.duplicate_keys(t, top=20)["compatible_cars"]
+    return dq.duplicate_keys(t, top=20, entities=[C])[C]
 
 
 @register("v3_j4_orphans", """
