@@ -23,7 +23,7 @@ Rank (own formula, documented; not bit-equal to any other engine)
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -179,7 +179,12 @@ def car_filter(compat: DataFrame, make: str | None = None, model: str | None = N
     return compat.filter(cond).select("article_id")
 
 
-def search(articles: DataFrame, postings: DataFrame, compat: DataFrame, q: str = "", make: str | None = None,
+def _bound(table: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+    """A table, or what binds it: building one that a search does not read can be all of its work."""
+    return table() if callable(table) else table
+
+
+def search(articles: DataFrame, postings: DataFrame | Callable[[], DataFrame], compat: DataFrame | Callable[[], DataFrame], q: str = "", make: str | None = None,
            model: str | None = None, year: str | int | None = None, is_oem: bool | None = None,
            page: int = 1, limit: int = 20, year_mode: str = "year") -> tuple[DataFrame, DataFrame]:
     """Faceted search -> (page of results, one-row total).
@@ -193,12 +198,12 @@ def search(articles: DataFrame, postings: DataFrame, compat: DataFrame, q: str =
     filtered = articles
     if is_oem is not None:
         filtered = filtered.filter(F.col("is_oem") == F.lit(is_oem))
-    cars = car_filter(compat, make, model, year, year_mode)
+    cars = car_filter(_bound(compat), make, model, year, year_mode) if make or model or year else None
     if cars is not None:
         filtered = filtered.join(cars, "article_id", "left_semi")
     qc = (q or "").strip()
     if qc:
-        filtered = with_relevance(filtered, postings, qc).withColumn("relevance", F.round("relevance", 6))
+        filtered = with_relevance(filtered, _bound(postings), qc).withColumn("relevance", F.round("relevance", 6))
         ordered = filtered.orderBy(F.desc("relevance"), "article_id")
     else:
         ordered = filtered.withColumn("relevance", F.lit(None).cast("double")).orderBy("article_id")

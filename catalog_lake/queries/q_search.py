@@ -137,7 +137,7 @@ SELECT {_Q9_COLS}, CAST(NULL AS DOUBLE) AS relevance,
        (SELECT count(*) FROM articles WHERE NOT is_oem) AS total
 FROM articles a WHERE NOT a.is_oem ORDER BY a.article_id LIMIT 20 OFFSET 40""", V)
 def q9b(t):
-    rows, total = sx.search(t.articles, _postings(t), t.compatible_cars, q="", is_oem=False, page=3, limit=20)
+    rows, total = sx.search(t.articles, lambda: _postings(t), lambda: t.compatible_cars, q="", is_oem=False, page=3, limit=20)
     return rows.select("article_id", "part_name", "part_number", "article_manufacturer", "group_name", "is_oem",
                        "thumbnail_url", "details_url", "relevance").crossJoin(total)
 
