@@ -59,9 +59,9 @@ def backfill_dimensions(mf: DataFrame, ms: DataFrame, ct: DataFrame, compat: Dat
     ms2 = ms.unionByName(new_ms, allowMissingColumns=True)
 
     # Step 4: missing car types with their model series.
-    types = compat.filter(F.col("car_type_id").isNotNull()).select("car_type_id", "model_series_id").distinct()
-    new_ct = keep_one(types.join(ct.select("car_type_id"), "car_type_id", "left_anti"), "car_type_id",
-                      [F.col("model_series_id").asc_nulls_last()])
+    # The least series of a type: one number is held per type, and a type's rows meet folded, not sorted.
+    types = compat.filter(F.col("car_type_id").isNotNull()).groupBy("car_type_id").agg(F.min("model_series_id").alias("model_series_id"))
+    new_ct = types.join(ct.select("car_type_id"), "car_type_id", "left_anti")
     ct2 = ct.unionByName(new_ct, allowMissingColumns=True)
 
     # Step 5: repair null manufacturer links of model series.
