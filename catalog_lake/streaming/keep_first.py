@@ -47,9 +47,15 @@ def keep_first(stream: DataFrame, key: str, event_time: str, delay_seconds: int,
             return
         last = state.get[0] if state.exists else None
         # Only the records that can still be kept are held: the first of each time, after the last kept one.
-        rows = pd.concat([f[names] for f in frames])
-        rows = rows.sort_values([event_time, *[c for c in names if c not in (event_time, key)]], kind="stable")
-        times = rows[event_time].astype("datetime64[us]").to_numpy().astype(np.int64)
+        frames = list(frames)
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames)
+        times = rows[event_time].to_numpy().astype("datetime64[us]").astype(np.int64)
+        if len(rows) > 1:
+            # By time; the other columns only decide between records of one time, and are only sorted if there are any.
+            order = np.argsort(times, kind="stable")
+            if (np.diff(times[order]) == 0).any():
+                order = rows.reset_index(drop=True).sort_values([event_time, *[c for c in names if c not in (event_time, key)]], kind="stable").index.to_numpy()
+            rows, times = rows.iloc[order], times[order]
         kept = _first_after(times, last, delay)
         if kept:
             last = int(times[kept[-1]])
@@ -58,7 +64,7 @@ def keep_first(stream: DataFrame, key: str, event_time: str, delay_seconds: int,
             # A timer must lie ahead of the watermark; one that is due at once fires with the next batch.
             state.setTimeoutTimestamp(max((last + delay) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if kept:
-            yield rows.iloc[kept]
+            yield rows.iloc[kept][names]
 
     held = T.StructType([T.StructField("last", T.LongType())])
     return (stream.filter(f"`{event_time}` IS NOT NULL").withWatermark(event_time, lateness).groupBy(key)
