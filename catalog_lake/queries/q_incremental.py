@@ -58,10 +58,10 @@ def _links_and_log(t):
     links = t.catalog_urls.select("url", "expected_kind")
     clean = F.regexp_replace("url", r"\s+", "")
     log = links.select(clean.alias("url")).filter("url <> ''").distinct()
-    failed = F.length("url") % 3 == 0
-    log = log.select("url", F.lit("2024-01-01").alias("timestamp"), F.lit(1).alias("event_id"), F.lit(200).alias("status_code")).unionByName(
-        log.filter(failed).select("url", F.lit("2024-01-02").alias("timestamp"), F.lit(2).alias("event_id"), F.lit(500).alias("status_code")))
-    return links, log
+    # One row or two per url, made in place: a union would find the urls twice.
+    fetch = [F.struct(F.lit(f"2024-01-0{k}").alias("timestamp"), F.lit(k).alias("event_id"), F.lit(status).alias("status_code")) for k, status in ((1, 200), (2, 500))]
+    fetched = F.explode(F.when(F.length("url") % 3 == 0, F.array(*fetch)).otherwise(F.array(fetch[0])))
+    return links, log.select("url", fetched.alias("f")).select("url", "f.timestamp", "f.event_id", "f.status_code")
 
 
 @register("i1_frontier_in_scope", f"WITH {_LINKS} SELECT DISTINCT url FROM links0 WHERE {_IN_SCOPE} AND url NOT IN (SELECT url FROM ok)",

@@ -55,9 +55,9 @@ def plan_session(links: DataFrame, log: DataFrame, is_nav: Column, url: str = "u
     """Navigation pages are planned once per session regardless of the log;
     leaf pages only when not yet fetched OK."""
     l = links.select(normalize_url(url).alias(url), is_nav.alias("is_nav")).filter(F.col(url) != "").distinct()
-    nav = l.filter("is_nav")
-    leaf = l.filter(~F.col("is_nav")).join(seen_ok(log), url, "left_anti")
-    return nav.unionByName(leaf)
+    # One join for both, so links and log are each read once; a url is seen once at most, and a null flag plans nothing.
+    seen = seen_ok(log).select(F.col(url), F.lit(True).alias("_seen"))
+    return l.filter(F.col("is_nav").isNotNull()).join(seen, url, "left").filter(F.col("is_nav") | F.col("_seen").isNull()).select(url, "is_nav")
 
 
 # -- I3: link discovery from stored pages ---------------------------------------
