@@ -122,6 +122,25 @@ def test_chain_on_held_out_rows(spark, labelled, clash):
     assert toxicity.predict_chain(docs.limit(0), chain).count() == 0
 
 
+def test_more_rows_than_a_task_takes_are_all_fitted(spark, labelled):
+    """Blocks of at most 200 rows: every row is in one of them, and constant, repeated and missing labels are taken."""
+    docs, labels = labelled.select("doc_id", "text"), labelled.select("doc_id", "junk", "toxic", F.lit(0).alias("never"))
+    chain, held = toxicity.fit_chain(docs.unionByName(docs.where("doc_id < 50")), labels, ("never", "junk", "toxic"), "doc_id", "text", 200)
+    assert held.count() == 550 and held.select("doc_id").distinct().count() == 500
+    assert min(_right(held, chain, "junk").values()) >= 0.95 and held.agg(F.max("p_never")).first()[0] < 1e-9
+    # So are the rows themselves judged.
+    told = _right(toxicity.predict_chain(labelled, chain), chain, "junk")
+    assert min(told.values()) >= 0.95 and zlib.crc32(b"buynow") in dict(chain.models)["junk"].terms
+    n = [0]
+    for fold in range(3):
+        part = docs.select(F.pmod("doc_id", F.lit(3)).alias("_fold"), F.col("doc_id").cast("double").alias("y"), F.array(F.col("doc_id")).alias("_hashes"))
+        fits = toxicity._fit_blocks(part.where(F.col("_fold") == fold).withColumn("y", F.pmod("y", F.lit(2.0))), 167, "y", [], 50, 0.001)
+        sizes = [r["n"] for r in fits.where("kind = 'intercept'").collect()]
+        assert max(sizes) <= 200
+        n.append(sum(sizes))
+    assert sum(n) == 500
+
+
 def test_chain_on_the_given_labels(spark):
     """Labelled rows of the given tables that the chain is not fitted on are judged right."""
     at = "/root/testdata/sf0.1"
