@@ -8,7 +8,7 @@ without the row.  Out-of-fold rows also choose each category's threshold.
 
 Every labelled row counts in every fit.  Up to ``TASK_ROWS`` of them, the fits are numpy in
 Spark tasks, one per fold and one for all rows, side by side.  More rows are fitted where they
-are, in blocks of ``TASK_ROWS`` / 2 to ``TASK_ROWS`` rows of one fold, and a model is the mean of
+are, in blocks of ``TASK_ROWS`` / 3 rows of one fold or up to twice as many, and a model is the mean of
 its blocks' fits, weighted by their rows (Zhang, Duchi and Wainwright 2012): of all blocks, or of
 those outside a fold.  The L1 penalty leaves few terms with a weight, so scoring a document is a
 look at each of its distinct words.
@@ -23,11 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from catalog_lake.llm.common import cut, written
+from catalog_lake.llm.repeats import unpack
 
 #: Up to so many labelled rows each model is fitted in one task; more are fitted in blocks of at most so many.
 TASK_ROWS = 8_000
@@ -75,8 +77,16 @@ def terms(text: str | None) -> set[int]:
     return {t for w in set(WORD.findall((text or "").lower())) for t in _word_terms(w)}
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column's texts compressed, for a join that shuffles them."""
+    z = zstandard.ZstdCompressor(level=3)
+    for b in batches:
+        packed = pa.array([z.compress((t.as_py() or "").encode()) for t in b.column(b.num_columns - 1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], packed], b.schema.names)
+
+
 def _hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The last column's texts as their terms."""
+    """The last column's packed texts as their terms."""
     known: dict[str, list[int]] = {}
 
     def look_up(word: str) -> list[int]:
@@ -90,8 +100,8 @@ def _hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return got
 
     for b in batches:
-        found = pa.array([sorted({t for w in set(WORD.findall((x.as_py() or "").lower())) for t in look_up(w)})
-                          for x in b.column(b.num_columns - 1)], pa.list_(pa.int64()))
+        found = pa.array([sorted({t for w in set(WORD.findall(x.decode().lower())) for t in look_up(w)})
+                          for x in unpack(b.column(b.num_columns - 1))], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], found], [*b.schema.names[:-1], "_hashes"])
 
 
@@ -200,6 +210,7 @@ def _fit_blocks(rows: DataFrame, n: int, category: str, before: list[str], block
 
         def fit() -> pa.RecordBatch:
             codes, lengths, x, y = (np.concatenate(c) for c in zip(*kept, strict=True))
+            kept.clear()
             b, names, w, wb = fit_linear(codes, lengths, x, y, penalty)
             if y.min() == y.max():  # no finite fit: the odds of so many rows
                 b = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
@@ -210,8 +221,8 @@ def _fit_blocks(rows: DataFrame, n: int, category: str, before: list[str], block
                                               ["n", "kind", "term", "weight"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, block):
-                b = batch.slice(at, block)
+            for at in range(0, batch.num_rows, min(block, 500)):
+                b = batch.slice(at, min(block, 500))
                 kept.append((_flat(b.column("_hashes"))[0].astype(np.uint32), np.diff(b.column("_hashes").offsets.to_numpy()), _before(b, before),
                              b.column(category).to_numpy()))
                 held = np.cumsum([len(k[3]) for k in kept])
@@ -307,11 +318,12 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc
     run, not what they are fitted on.
     """
     known = labels.select(F.col(doc).alias("_doc"), *[F.col(c).cast("double").alias(c) for c in categories]).dropna()
-    rows = docs.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")).join(known, "_doc")
+    rows = docs.select(F.col(doc).alias("_doc"), F.col(text).alias("_text"))
+    rows = rows.mapInArrow(_pack, f"_doc {rows.schema['_doc'].dataType.simpleString()}, _text binary").join(known, "_doc")
     rows = rows.select("_doc", *categories, F.pmod(F.xxhash64(F.lit(7), "_doc"), F.lit(folds)).cast("int").alias("_fold"), "_text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     with written(rows.mapInArrow(_hash_texts, f"{kinds}, _hashes array<bigint>"), "toxicity-terms") as hashed:
-        chain, rows = _fit_chain_across_tasks(hashed, categories, folds, penalty, task_rows // 2) if hashed.count() > task_rows else \
+        chain, rows = _fit_chain_across_tasks(hashed, categories, folds, penalty, task_rows // 3) if hashed.count() > task_rows else \
             _fit_chain_in_tasks(cut(hashed), categories, folds, penalty)
     return chain, rows.select(F.col("_doc").alias(doc), *categories, *[f"p_{c}" for c in categories])
 
