@@ -199,14 +199,36 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
 
 
-def _before(batch: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
-    return np.stack([batch.column(c).to_numpy() for c in columns], axis=1) if columns else np.zeros((batch.num_rows, 0))
+class _HeldOut:
+    """Probabilities of rows by the models fitted outside their folds, category after category."""
+
+    def __init__(self, models: Sequence[Sequence[Linear]]):
+        self.models = [[(m.intercept, names := np.array(sorted(m.terms), np.int64), np.array([m.terms[t] for t in names.tolist()]), np.array(m.before, float))
+                        for m in of[:-1]] for of in models]
+
+    def __call__(self, b: pa.RecordBatch) -> np.ndarray:
+        fold, p = b.column("_fold").to_numpy(), np.zeros((b.num_rows, len(self.models)))
+        codes, row = _flat(b.column("_hashes"))
+        for i, of in enumerate(self.models):
+            for k, (intercept, names, weights, before) in enumerate(of):
+                mine = fold == k
+                if not mine.any():
+                    continue
+                margin = intercept + p[:, :i] @ before
+                if len(names):
+                    inside = np.flatnonzero(mine[row])
+                    at = np.minimum(np.searchsorted(names, codes[inside]), len(names) - 1)
+                    hit = names[at] == codes[inside]
+                    margin = margin + np.bincount(row[inside[hit]], weights[at[hit]], b.num_rows)
+                p[mine, i] = 1 / (1 + np.exp(-margin[mine]))
+        return p
 
 
-def _fit_blocks(rows: DataFrame, n: int, category: str, before: list[str], block: int, penalty: float) -> DataFrame:
+def _fit_blocks(rows: DataFrame, n: int, category: str, earlier: Sequence[Sequence[Linear]], block: int, penalty: float) -> DataFrame:
     """(n, kind, term, weight): the fits of blocks of ``block`` to twice as many of the ``n`` rows, where these are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, ...]] = []
+        held_out = _HeldOut(earlier)
 
         def fit() -> pa.RecordBatch:
             codes, lengths, x, y = (np.concatenate(c) for c in zip(*kept, strict=True))
@@ -223,7 +245,7 @@ def _fit_blocks(rows: DataFrame, n: int, category: str, before: list[str], block
         for batch in batches:
             for at in range(0, batch.num_rows, min(block, 500)):
                 b = batch.slice(at, min(block, 500))
-                kept.append((_flat(b.column("_hashes"))[0].astype(np.uint32), np.diff(b.column("_hashes").offsets.to_numpy()), _before(b, before),
+                kept.append((_flat(b.column("_hashes"))[0].astype(np.uint32), np.diff(b.column("_hashes").offsets.to_numpy()), held_out(b),
                              b.column(category).to_numpy()))
                 held = np.cumsum([len(k[3]) for k in kept])
                 if held[-1] >= 2 * block:
@@ -235,16 +257,16 @@ def _fit_blocks(rows: DataFrame, n: int, category: str, before: list[str], block
         if kept:
             yield fit()
 
-    few = rows.select("_hashes", category, *before).coalesce(max(1, n // (block + block // 2)))
+    few = rows.select("_fold", "_hashes", category).coalesce(max(1, n // (block + block // 2)))
     return few.mapInArrow(run, "n bigint, kind string, term bigint, weight double")
 
 
-def _fit_across_tasks(rows: DataFrame, category: str, before: list[str], folds: int, penalty: float, block: int) -> list[Linear]:
+def _fit_across_tasks(rows: DataFrame, category: str, earlier: Sequence[Sequence[Linear]], folds: int, penalty: float, block: int) -> list[Linear]:
     """The models for each fold, of the rows outside it, and last the one of all rows: means of the blocks' fits, weighted by rows."""
     sums = {r["_fold"]: (r["n"], r["y"]) for r in rows.groupBy("_fold").agg(F.count("*").alias("n"), F.sum(category).alias("y")).collect()}
     fitted = None
     for fold, (n, _) in sorted(sums.items()):
-        part = _fit_blocks(rows.where(F.col("_fold") == fold), n, category, before, block, penalty).withColumn("fold", F.lit(fold))
+        part = _fit_blocks(rows.where(F.col("_fold") == fold), n, category, earlier, block, penalty).withColumn("fold", F.lit(fold))
         fitted = part if fitted is None else fitted.unionAll(part)
     means = cut(fitted).groupBy("kind", "term").agg(*[F.sum(F.when(F.col("fold") == k, F.col("n") * F.col("weight")).otherwise(0.0)).alias(f"s{k}")
                                                       for k in range(folds)]).collect()
@@ -252,48 +274,38 @@ def _fit_across_tasks(rows: DataFrame, category: str, before: list[str], folds:
     for k in range(folds + 1):
         n, y = (sum(v[j] for fold, v in sums.items() if fold != k) for j in (0, 1))
         if not 0 < y < n:
-            models.append(Linear(30.0 if n and y else -30.0, {}, (0.0,) * len(before)))
+            models.append(Linear(30.0 if n and y else -30.0, {}, (0.0,) * len(earlier)))
             continue
         mean = {(r["kind"], r["term"]): sum(r[f"s{j}"] for j in range(folds) if j != k) / n for r in means}
         models.append(Linear(mean[("intercept", None)], {t: w for (kind, t), w in mean.items() if kind == "term" and w},
-                             tuple(mean[("before", j)] for j in range(len(before)))))
+                             tuple(mean[("before", j)] for j in range(len(earlier)))))
     return models
 
 
-def _held_out(rows: DataFrame, models: list[Linear], category: str, before: list[str]) -> DataFrame:
-    """The rows with the category's probability by the model of the rows outside the row's fold."""
+def _with_held_out(rows: DataFrame, models: Sequence[Sequence[Linear]], categories: Sequence[str]) -> DataFrame:
+    """The rows without their terms, with every category's probability by the models of the rows outside the row's fold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = []
-        for m in models[:-1]:
-            names = np.array(sorted(m.terms), np.int64)
-            tables.append((names, np.array([m.terms[t] for t in names.tolist()])))
-        for b in batches:
-            fold, p = b.column("_fold").to_numpy(), np.zeros(b.num_rows)
-            for k, (m, (names, weights)) in enumerate(zip(models, tables)):
-                mine = b.filter(pa.array(fold == k))
-                codes, row = _flat(mine.column("_hashes"))
-                margin = m.intercept + _before(mine, before) @ np.array(m.before, float)
-                if len(names):
-                    at = np.minimum(np.searchsorted(names, codes), len(names) - 1)
-                    hit = names[at] == codes
-                    margin = margin + np.bincount(row[hit], weights[at[hit]], mine.num_rows)
-                p[fold == k] = 1 / (1 + np.exp(-margin))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], [*b.schema.names, f"p_{category}"])
+        held_out = _HeldOut(models)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                b = batch.slice(at, 500)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], *[pa.array(p) for p in held_out(b).T]],
+                                                 [*b.schema.names[:-1], *[f"p_{c}" for c in categories]])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields]).add(f"p_{category}", "double"))
+    schema = StructType(rows.schema.fields[:-1])
+    for c in categories:
+        schema = schema.add(f"p_{c}", "double")
+    return rows.mapInArrow(run, schema)
 
 
 def _fit_chain_across_tasks(rows: DataFrame, categories: Sequence[str], folds: int, penalty: float, block: int) -> tuple[Chain, DataFrame]:
     """The chain of a table of any size, and its training rows."""
-    models, thresholds = [], {}
-    for i, category in enumerate(categories):
-        before = [f"p_{c}" for c in categories[:i]]
-        fits = _fit_across_tasks(rows, category, before, folds, penalty, block)
-        models.append((category, fits[-1]))
-        rows = _held_out(rows, fits, category, before)
-        thresholds[category] = _threshold(rows, category)
-    # The terms are not needed any more; the rows are read after their folder is gone.
-    return Chain(tuple(models), thresholds), cut(rows.drop("_hashes"))
+    models: list[list[Linear]] = []
+    for category in categories:
+        models.append(_fit_across_tasks(rows, category, models, folds, penalty, block))
+    # The rows are read after the folder of their terms is gone.
+    held = cut(_with_held_out(rows, models, categories))
+    return Chain(tuple((c, of[-1]) for c, of in zip(categories, models, strict=True)), {c: _threshold(held, c) for c in categories}), held
 
 
 # --- the chain ------------------------------------------------------------------------------
