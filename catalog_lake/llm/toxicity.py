@@ -36,8 +36,9 @@ TASK_ROWS = 8_000
 FOLDS = 3
 #: Lengths of the beginnings of longer words that are features besides the words.
 BEGINNINGS = (3, 4, 5, 6)
-#: Words of at most 40 characters whose weights a task remembers.
-CACHED_WORDS = 200_000
+#: Bytes of text (packed or not) whose words are hashed at once, and the longest word, in bytes, that is hashed beside others.
+CHUNK = 1 << 20
+LONG_WORD = 40
 #: L1 penalty of the mean loss, chosen on held-out rows of ``labels``.
 PENALTY = 0.0004
 #: The thresholds that out-of-fold rows choose from.
@@ -65,48 +66,121 @@ class Chain:
 
 
 WORD = re.compile(r"[^\W_]+")
+_ASCII = bytes(range(128))
+#: ASCII that is not of a word becomes a blank; bytes of longer characters stay.
+_BLANKED = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+#: The table of CRC-32 by the low byte of its state.
+_CRC = np.array([zlib.crc32(bytes([c]), 0xFFFFFFFF) ^ 0xFFFFFFFF for c in range(256)], np.uint32)
 
 
-def _word_terms(word: str) -> list[int]:
-    """Hashes of a word and of the beginnings it is longer than."""
-    return [zlib.crc32(word.encode()), *[zlib.crc32(f"^{word[:n]}".encode()) for n in BEGINNINGS if len(word) > n]]
+def _blanked(text: str) -> bytes:
+    """The text in lower case, its words (``WORD``) parted by blanks only."""
+    low = text.lower()
+    raw = low.encode()
+    if not raw.isascii():
+        others = [c for c in set(raw.translate(None, _ASCII).decode()) if not c.isalnum()]
+        if len(others) > 20:
+            return " ".join(WORD.findall(low)).encode()
+        for c in others:
+            raw = raw.replace(c.encode(), b" ")
+    return raw.translate(_BLANKED)
+
+
+def _crc_step(state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return _CRC.take((state ^ byte) & 0xFF) ^ (state >> 8)
+
+
+def _word_terms(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of all words of the texts and of the beginnings they are longer than, repeats included.
+
+    The CRC-32 of all words at once, byte by byte; the words lie from the longest to the
+    shortest, so those that have a byte are the first ones.
+    """
+    raws = [_blanked(t) + b" " for t in texts]
+    data = np.frombuffer(b"".join(raws), np.uint8)
+    inside = np.concatenate([[False], data != 32])
+    start = np.flatnonzero(inside[1:] & ~inside[:-1])
+    length = np.flatnonzero(inside[:-1] & ~inside[1:]) - start
+    order = np.argsort(-np.minimum(length, LONG_WORD + 1).astype(np.int16), kind="stable")
+    row = np.searchsorted(np.cumsum([len(r) for r in raws]), start, side="right")[order]
+    start, length = start[order], length[order]
+    state = np.full(len(start), 0xFFFFFFFF, np.uint32)
+    long = int((length > LONG_WORD).sum())
+    for j in range(LONG_WORD):
+        m = int((length > j).sum())
+        if m <= long:
+            break
+        state[long:m] = _crc_step(state[long:m], data.take(start[long:m] + j))
+    codes = [state ^ np.uint32(0xFFFFFFFF)]
+    for k in range(long):
+        codes[0][k] = zlib.crc32(data[start[k]:start[k] + length[k]])
+    rows = [row]
+    state, whole = np.full(len(start), zlib.crc32(b"^") ^ 0xFFFFFFFF, np.uint32), np.zeros(len(start), np.int8)
+    for j in range(4 * BEGINNINGS[-1]):  # a character has at most four bytes
+        m = int((length > j + 1).sum())
+        if not m:
+            break
+        state, start, length, row = _crc_step(state[:m], data.take(start[:m] + j)), start[:m], length[:m], row[:m]
+        ends = data.take(start + (j + 1)) & 0xC0 != 0x80  # the next byte begins a character
+        whole = whole[:m] + ends
+        hit = ends & np.isin(whole, BEGINNINGS)
+        codes.append(state[hit] ^ np.uint32(0xFFFFFFFF))
+        rows.append(row[hit])
+        if (on := whole < BEGINNINGS[-1]).sum() < m:
+            state, start, length, row, whole = state[on], start[on], length[on], row[on], whole[on]
+    return np.concatenate(rows), np.concatenate(codes)
+
+
+def _distinct(row: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Each pair once and in order, as row * 2^32 + code."""
+    pairs = np.sort(row << 32 | code)
+    return pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])[:len(pairs)]]
+
+
+def _chunks(sizes: Sequence[int]) -> Iterator[slice]:
+    """Runs of texts of about ``CHUNK`` bytes, by their sizes; a longer text is one of its own."""
+    first, total = 0, 0
+    for k, n in enumerate(sizes):
+        if total and total + n > CHUNK:
+            yield slice(first, k)
+            first, total = k, 0
+        total += n
+    if first < len(sizes):
+        yield slice(first, len(sizes))
 
 
 def terms(text: str | None) -> set[int]:
     """Hashes of the lower-case words of the whole text and of their beginnings."""
-    return {t for w in set(WORD.findall((text or "").lower())) for t in _word_terms(w)}
+    return set(_word_terms([text or ""])[1].tolist())
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The last column's texts compressed, for a join that shuffles them."""
     z = zstandard.ZstdCompressor(level=3)
     for b in batches:
-        packed = pa.array([z.compress((t.as_py() or "").encode()) for t in b.column(b.num_columns - 1)], pa.binary())
+        packed = pa.array([z.compress(t.as_buffer() if t.is_valid else b"") for t in b.column(b.num_columns - 1)], pa.binary())
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], packed], b.schema.names)
 
 
 def _hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The last column's packed texts as their terms."""
-    known: dict[str, list[int]] = {}
-
-    def look_up(word: str) -> list[int]:
-        got = known.get(word)
-        if got is None:
-            got = _word_terms(word)
-            if len(known) >= CACHED_WORDS:
-                known.clear()
-            if len(word) <= 40:
-                known[word] = got
-        return got
-
     for b in batches:
-        found = pa.array([sorted({t for w in set(WORD.findall(x.decode().lower())) for t in look_up(w)})
-                          for x in unpack(b.column(b.num_columns - 1))], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*b.columns[:-1], found], [*b.schema.names[:-1], "_hashes"])
+        packed = b.column(b.num_columns - 1)
+        for part in _chunks([len(z.as_buffer()) for z in packed]):
+            texts = [x.decode() for x in unpack(packed[part])]
+            found = _distinct(*_word_terms(texts))
+            ends = np.searchsorted(found, np.arange(len(texts) + 1) << 32).astype(np.int32)
+            hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(found & 0xFFFFFFFF))
+            yield pa.RecordBatch.from_arrays([*[c[part] for c in b.columns[:-1]], hashes], [*b.schema.names[:-1], "_hashes"])
 
 
 # --- fitting --------------------------------------------------------------------------------
 
+def _sums(values: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sum of the rows' values from each start to the next."""
+    return np.add.reduceat(values.take(rows, mode="clip"), starts) if len(starts) else np.zeros(0)
+
+
 def fit_linear(codes: np.ndarray, lengths: np.ndarray, before: np.ndarray, y: np.ndarray, penalty: float = PENALTY,
                rounds: int = 100, close: float = 1e-3) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """(intercept, terms, weights, weights of ``before``) that minimise mean log loss + penalty * sum of absolute weights.
@@ -120,33 +194,35 @@ def fit_linear(codes: np.ndarray, lengths: np.ndarray, before: np.ndarray, y: np
     if not n or y.min() == y.max():
         share = float(y[0]) if n else 0.0
         return (30.0 if share else -30.0), np.zeros(0, np.int64), np.zeros(0), np.zeros(before.shape[1])
-    names, code, count = np.unique(codes, return_inverse=True, return_counts=True)
+    # The rows of each term side by side, so that a sum over a term's rows is one over a range.
+    order = np.argsort(codes)
+    ordered = codes[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
+    count = np.diff(np.append(first, len(ordered)))
     common = count > penalty * n
-    keep = common[code]
-    row = np.repeat(np.arange(n), lengths)[keep]
-    code = (np.cumsum(common) - 1)[code[keep]]
-    names = names[common]
+    row = np.repeat(np.arange(n), lengths)[order[np.repeat(common, count)]]
+    names, count = ordered[first[common]], count[common]
+    del order, ordered
+    first = np.cumsum(count) - count
     w, wb, b = np.zeros(len(names)), np.zeros(before.shape[1]), float(np.log(y.mean() / (1 - y.mean())))
     margin, inside = np.full(n, b), np.zeros(len(names), bool)
     for _ in range(20):
         rest = 1 / (1 + np.exp(-margin)) - y
-        slope = np.bincount(code, rest[row], len(names)) / n
+        slope = _sums(rest, row, first) / n
         wants = ~inside & (np.abs(slope) > 1.02 * penalty)
         if not wants.any() and inside.any():
             break
         inside |= wants
-        place = np.cumsum(inside) - 1
-        mine = inside[code]
-        r, c = row[mine], place[code[mine]]
-        k = int(inside.sum())
+        r, size, k = row[np.repeat(inside, count)], count[inside], int(inside.sum())
+        start = np.cumsum(size) - size
         per_row = np.bincount(r, minlength=n) + 1 + np.abs(before).sum(axis=1)
-        curve = np.concatenate([np.bincount(c, per_row[r], k), (np.abs(before) * per_row[:, None]).sum(axis=0) + 1e-9, [per_row.sum()]]) / (4 * n)
+        curve = np.concatenate([_sums(per_row, r, start), (np.abs(before) * per_row[:, None]).sum(axis=0) + 1e-9, [per_row.sum()]]) / (4 * n)
         x = np.concatenate([w[inside], wb, [b]])
         at, speed = x.copy(), 1.0
         for _ in range(rounds):
-            margin = np.bincount(r, at[c], n) + before @ at[k:-1] + at[-1]
+            margin = np.bincount(r, np.repeat(at[:k], size), n) + before @ at[k:-1] + at[-1]
             rest = (1 / (1 + np.exp(-margin)) - y) / n
-            g = np.concatenate([np.bincount(c, rest[r], k), before.T @ rest, [rest.sum()]])
+            g = np.concatenate([_sums(rest, r, start), before.T @ rest, [rest.sum()]])
             new = at - g / curve
             new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - penalty / curve[:-1], 0)
             faster = (1 + np.sqrt(1 + 4 * speed ** 2)) / 2
@@ -157,7 +233,7 @@ def fit_linear(codes: np.ndarray, lengths: np.ndarray, before: np.ndarray, y: np
             if moved < close:
                 break
         w[inside], wb, b = x[:k], x[k:-1], float(x[-1])
-        margin = np.bincount(r, x[c], n) + before @ wb + b
+        margin = np.bincount(r, np.repeat(x[:k], size), n) + before @ wb + b
     used = w != 0
     return b, names[used], w[used], wb
 
@@ -318,6 +394,12 @@ def _threshold(rows: DataFrame, category: str) -> float:
     return max((2 * sums[f"b{k}"] / max(sums[f"a{k}"] + sums["n"], 1), -abs(t - 0.5), t) for k, t in enumerate(THRESHOLDS))[2]
 
 
+def _labelled(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """The packed texts with a label; one join at all sizes, as a broadcast of few labels becomes a shuffle when they grow."""
+    packed = texts.mapInArrow(_pack, f"_doc {texts.schema['_doc'].dataType.simpleString()}, _text binary")
+    return packed.join(known.hint("merge"), "_doc")
+
+
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc: str = "doc_id", text: str = "text",
               task_rows: int = TASK_ROWS, folds: int = FOLDS, penalty: float = PENALTY) -> tuple[Chain, DataFrame]:
     """The chain, and its training rows (id, categories, out-of-fold probability of every category).
@@ -330,8 +412,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc
     run, not what they are fitted on.
     """
     known = labels.select(F.col(doc).alias("_doc"), *[F.col(c).cast("double").alias(c) for c in categories]).dropna()
-    rows = docs.select(F.col(doc).alias("_doc"), F.col(text).alias("_text"))
-    rows = rows.mapInArrow(_pack, f"_doc {rows.schema['_doc'].dataType.simpleString()}, _text binary").join(known, "_doc")
+    rows = _labelled(docs.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")), known)
     rows = rows.select("_doc", *categories, F.pmod(F.xxhash64(F.lit(7), "_doc"), F.lit(folds)).cast("int").alias("_fold"), "_text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     with written(rows.mapInArrow(_hash_texts, f"{kinds}, _hashes array<bigint>"), "toxicity-terms") as hashed:
@@ -373,30 +454,28 @@ def predict_chain(docs: DataFrame, chain: Chain, text: str = "text") -> DataFram
     row_type = numbered.schema["_row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = sorted({t for _, m in chain.models for t in m.terms})
-        places = {t: k for k, t in enumerate(names)}
-        weights = np.array([[m.terms.get(t, 0.0) for t in names] for _, m in chain.models]).reshape(len(chain.models), len(names))
-        known: dict[str, list[int]] = {}  # a word's terms with a weight in any model
-
-        def look_up(word: str) -> list[int]:
-            got = known.get(word)
-            if got is None:
-                got = [places[t] for t in _word_terms(word) if t in places]
-                if len(known) >= CACHED_WORDS:
-                    known.clear()
-                if len(word) <= 40:
-                    known[word] = got
-            return got
+        names = np.array(sorted({t for _, m in chain.models for t in m.terms}), np.int64)
+        weights = np.array([[m.terms.get(t, 0.0) for t in names.tolist()] for _, m in chain.models]).reshape(len(chain.models), len(names))
+        maybe = np.zeros(1 << 20, bool)  # by a hash's upper bits: whether it can have a weight
+        maybe[names >> 12] = True
+
+        def margins(texts: list[str]) -> np.ndarray:
+            row, code = _word_terms(texts)
+            some = maybe.take(code >> 12)
+            found = _distinct(row[some], code[some])
+            row, code = found >> 32, found & 0xFFFFFFFF
+            at = np.minimum(np.searchsorted(names, code), max(len(names) - 1, 0))
+            hit = names[at] == code if len(names) else np.zeros(len(at), bool)
+            row, at = row[hit], at[hit]
+            return np.stack([np.bincount(row, w[at], len(texts)) for w in weights], axis=1).astype(float)
 
         for b in batches:
-            hits = [dict.fromkeys(k for w in set(WORD.findall((t.as_py() or "").lower())) for k in look_up(w)) for t in b.column(1)]
-            row = np.repeat(np.arange(b.num_rows), [len(h) for h in hits])
-            at = np.fromiter((k for h in hits for k in h), np.int64, len(row))
-            z = np.stack([np.bincount(row, w[at], b.num_rows) for w in weights], axis=1).astype(float)
-            p = np.zeros_like(z)
-            for k, (_, m) in enumerate(chain.models):
-                p[:, k] = 1 / (1 + np.exp(-(z[:, k] + m.intercept + p[:, :k] @ np.array(m.before))))
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(p[:, k]) for k in range(len(results))]], ["_row", *results])
+            for part in _chunks([len(t.as_buffer()) if t.is_valid else 0 for t in b.column(1)]):
+                z = margins([t or "" for t in b.column(1)[part].to_pylist()])
+                p = np.zeros_like(z)
+                for k, (_, m) in enumerate(chain.models):
+                    p[:, k] = 1 / (1 + np.exp(-(z[:, k] + m.intercept + p[:, :k] @ np.array(m.before))))
+                yield pa.RecordBatch.from_arrays([b.column(0)[part], *[pa.array(p[:, k]) for k in range(len(results))]], ["_row", *results])
 
     out = numbered.mapInArrow(run, f"_row {row_type}, " + ", ".join(f"{r} double" for r in results))
     return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in results], *results)

@@ -1,12 +1,14 @@
 """Toxicity chain (5), HTML extraction (7), token counts (6)."""
 
 import random
+import re
 import time
 import zlib
 
 import numpy as np
 import pytest
 import public_tokenizers
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -71,6 +73,26 @@ def test_terms():
     assert toxicity.terms("Unhappy, cat unhappy! straße") == {zlib.crc32(w.encode()) for w in words} and toxicity.terms(None) == set()
 
 
+def test_terms_of_many_texts_at_once():
+    """The CRC-32 of every word and beginning, whatever its letters, its length and the characters between words."""
+    word = re.compile(r"[^\W_]+")
+    plain = lambda t: {zlib.crc32(x.encode()) for w in word.findall(t.lower()) for x in [w, *[f"^{w[:n]}" for n in (3, 4, 5, 6) if len(w) > n]]}
+    texts = ["", " _ ", "a ab abc abcd abcdefg ABCDEFG", "İstanbul ǅ ß ẞ Σς", "日本語のテキスト、とても長い", "𝔘𝔫𝔦𝔠𝔬𝔡𝔢abc naïve_café é", "x" * 39 + " " + "x" * 40 + "." + "y" * 41,
+             "é" * 30 + " " + "z" * 70_000, "".join(map(chr, range(0x3000))), "١٢٣ ²³ a\x00b\x85c d\xa0e"]
+    row, code = toxicity._word_terms(texts)
+    assert [set(code[row == i].tolist()) for i in range(len(texts))] == [plain(t) for t in texts]
+    assert [toxicity.terms(t) for t in texts] == [plain(t) for t in texts]
+
+
+def test_texts_meet_few_labels_as_they_meet_many(spark):
+    """Texts and labels are joined by the same shuffle at all sizes, so what a small run takes tells what a large one will."""
+    texts = spark.createDataFrame([(1, "a b"), (2, None), (2, "c"), (None, "d")], "_doc long, _text string")
+    rows = toxicity._labelled(texts, spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 1.0)], "_doc long, y double"))
+    assert sorted((r["_doc"], r["y"], zstandard.decompress(bytes(r["_text"]))) for r in rows.collect()) == [(1, 0.0, b"a b"), (2, 1.0, b""), (2, 1.0, b"c")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_fit_is_the_best():
     """No small change of any weight lowers the penalised loss."""
     rnd = np.random.default_rng(6)
