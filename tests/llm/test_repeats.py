@@ -175,6 +175,20 @@ def test_short_passages_with_one_edit_at_every_place():
     assert seen == {True, False}
 
 
+def test_ranges_that_share_too_little_are_not_searched(monkeypatch):
+    """A shared line of ten words and a repeated one leave no similar passage, which is seen without a search; a long enough one is searched."""
+    rnd = random.Random(15)
+    x = lambda w: substring_dedup.shingles(" ".join(w).encode())
+    line, own = _say(rnd, 10), [_say(rnd, 70) for _ in range(4)]
+    short = own[0] + line + own[1], own[2] + line * 3 + own[3]
+    few = own[0] + ["so"] * 60, own[2] + ["so"] * 60  # one shingle again and again is a passage
+    assert substring_dedup.passages(x(few[0]), x(few[1]), 46, 0.8)
+    monkeypatch.setattr(substring_dedup, "_stretch", None)
+    assert substring_dedup.passages(x(short[0]), x(short[1]), 46, 0.8) == substring_dedup.passages(x(short[1]), x(short[0]), 46, 0.8) == []
+    with pytest.raises(TypeError):
+        substring_dedup.passages(x(few[0]), x(few[1]), 46, 0.8)
+
+
 def test_short_passages_of_few_words():
     """Shingles that come again, and moved parts: what all pairs of ranges show is found."""
     rnd = random.Random(13)
@@ -187,6 +201,46 @@ def test_short_passages_of_few_words():
         assert bool(substring_dedup.passages(xa, xb, 46, 0.8)) >= _similar(a, b)
 
 
+@pytest.mark.parametrize("block", [5, 256])
+def test_windows_that_no_candidate_needs_are_dropped(monkeypatch, block):
+    """Against all windows by all others; and two documents' candidates are the same without the windows dropped."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 30, 90):
+        c = rng.integers(0, 400, n)
+        e = c + rng.integers(0, 20, n) * (rng.random(n) < 0.3)
+        at = np.column_stack([rng.integers(0, 6, n), c - rng.integers(0, 40, n), c, e, e + 1 + rng.integers(0, 40, n)]).astype(np.int32)
+        near = [[q for q in range(n) if at[q, 1] <= at[p, 3] and at[p, 2] < at[q, 4] and at[p, 1] <= at[q, 3] and at[q, 2] < at[p, 4]] for p in range(n)]
+        centre = [len({at[q, 0] for q in near[p]}) >= 3 for p in range(n)]
+        keep = substring_dedup.supported(at, 3)
+        assert keep.tolist() == [any(centre[q] for q in near[p]) for p in range(n)]
+        other = at + np.array([0, 7, 7, 7, 7], np.int32)  # the same windows, some of them gone
+        there = rng.random(n) < 0.7
+        meet = lambda k: np.column_stack([at, other[:, 1:]])[k].astype(np.int64)
+        if there.any():
+            both = np.zeros(n, bool)
+            both[there] = keep[there] & substring_dedup.supported(other[there], 3)
+            assert substring_dedup.overlaps(meet(there), 3, 10) == substring_dedup.overlaps(meet(both), 3, 10)
+
+
+def test_a_common_line_makes_few_documents_meet(spark, make_docs):
+    """Documents of their own words around one line: without enough functions' windows there, none of the pairs meets."""
+    rnd = random.Random(9)
+    line = []
+    while sum(int(substring_dedup._mix(substring_dedup.shingles(" ".join(line).encode()) ^ seed).min(initial=2**64 - 1)) < 2**64 // 150
+              for seed in substring_dedup._SEEDS[:6]) not in (1, 2):  # the line's windows are those of so many functions
+        line = _say(rnd, 12)
+    texts = {i: _say(rnd, 60) + line + _say(rnd, 60) for i in range(60)}
+    docs = make_docs([(i, " ".join(w)) for i, w in texts.items()])
+    reps = substring_dedup.identify(docs, "doc_id", "text")
+    packed = substring_dedup.distinct_texts(docs, reps.select("doc", "v", "ta", "tb"), "doc_id", "text")
+    repeats = substring_dedup.repeated(packed, lambda t: substring_dedup._signatures(substring_dedup.shingles(t), 46, 6)[0])
+    rows = [substring_dedup._windows(packed, repeats, 46, 6, n).collect() for n in (1, 3)]
+    assert len(rows[1]) < 0.5 * len(rows[0]) and rows[0]
+    out, links = substring_dedup.near_duplicate_passages(docs)
+    assert links.count() == 0 and {(r["class_id"] == r["doc"], r["n_links"]) for r in out.collect()} == {(True, 0)}
+
+
 def test_repeated_words_make_few_windows():
     """Equal words, and a word pair that alternates: one row per run and function."""
     for words in (["word"] * 20_000, ["one", "two", "three"] * 7_000, _say(random.Random(1), 300) + ["word"] * 20_000):
