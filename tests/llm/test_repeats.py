@@ -281,3 +281,58 @@ def test_recall_of_planted_near_passages(spark, make_docs):
     root = {r["doc"]: r["class_id"] for r in out.collect()}
     found = sum(root[2 * k] == root[2 * k + 1] for k in range(pairs))
     assert found >= 0.9 * pairs and all(root[2 * k] == 2 * k for k in range(pairs))
+
+
+def test_windows_of_many_documents_are_those_of_each():
+    """Laid end to end, empty, short and repeated texts among them."""
+    rnd = random.Random(21)
+    texts = [_say(rnd, n) for n in (0, 3, 50, 49, 400, 51)] + [["word"] * 300, _say(rnd, 90) + ["so", "on"] * 60, []]
+    xs = [substring_dedup.shingles(" ".join(w).encode()) for w in texts]
+    for some in (xs, xs[::-1], xs[:1], []):
+        doc, sig, at = substring_dedup.signatures(some, 46, 6)
+        for k, x in enumerate(some):
+            want = substring_dedup._signatures(x, 46, 6)
+            assert np.array_equal(sig[doc == k], want[0]) and np.array_equal(at[doc == k], want[1])
+    _, _, xs_back = list(substring_dedup._signed((" ".join(w).encode() for w in texts), 46, 6))[-1][2:]
+    assert len(xs_back) == len(texts)
+
+
+@pytest.mark.parametrize("side", [3, 64])
+def test_a_common_line_makes_no_documents_meet(spark, make_docs, monkeypatch, side):
+    """A line that enough functions' windows are of, among documents' own words, and one real passage: only its pair meets."""
+    monkeypatch.setattr(substring_dedup, "SIDE", side)
+    rnd = random.Random(22)
+    line = []
+    while sum(int(substring_dedup._mix(substring_dedup.shingles(" ".join(line).encode()) ^ seed).min(initial=2**64 - 1)) < 2**64 // 250
+              for seed in substring_dedup._SEEDS[:6]) < 4:
+        line = _say(rnd, 14)
+    passage = _say(rnd, 64)
+    texts = {i: _say(rnd, 60) + line + _say(rnd, 60) + (passage + _say(rnd, 30) if i > 34 else []) for i in range(40)}
+    docs = make_docs([(i, " ".join(w)) for i, w in texts.items()])
+    reps = substring_dedup.identify(docs, "doc_id", "text")
+    packed = substring_dedup.distinct_texts(docs, reps.select("doc", "v", "ta", "tb"), "doc_id", "text")
+    repeats = substring_dedup.repeated(packed, lambda t: substring_dedup._signatures(substring_dedup.shingles(t), 46, 6)[0])
+    kept = substring_dedup._windows(packed, repeats, 46, 6, 3)
+    shared = substring_dedup.repeated_in(kept, lambda b: (np.zeros(0, int), np.zeros(0, np.uint64)) if not b.num_rows else (
+        np.repeat(np.arange(b.num_rows), [len(x) // 8 for x in b.column("x").to_pylist()]),
+        np.frombuffer(b"".join(b.column("x").to_pylist()), np.uint64)))
+    met = substring_dedup._pairs(kept, 3).count()
+    left = {tuple(r) for r in substring_dedup._pairs(substring_dedup._useful(kept, shared, 46, 0.8, 3), 3).collect()}
+    real = {(i, j) for i in range(35, 40) for j in range(i + 1, 40)}
+    assert met > 100 and left == real
+    out, links = substring_dedup.near_duplicate_passages(docs)
+    assert {(r["a"], r["b"]) for r in links.collect()} == real
+    assert {r["doc"]: (r["class_id"], r["n_links"]) for r in out.collect()} == {i: (35, 4) if i > 34 else (i, 0) for i in texts}
+
+
+def test_places_alike():
+    """No range that can be similar is lost, against all ranges; and few unshared places more than that are kept."""
+    rng = np.random.default_rng(5)
+    for n, p in ((5, 1.0), (46, 0.9), (120, 0.8), (200, 0.75)):
+        hit = rng.random(n) < p
+        got, most = substring_dedup.alike(hit, 46, 0.8), int((~hit).sum())
+        for i in range(n):
+            for j in range(i + 46, n + 1):
+                if (~hit[i:j]).sum() <= 0.2 * (j - i):
+                    assert got[i:j].any() and most >= 0
+    assert not substring_dedup.alike(np.arange(200) % 2 == 0, 46, 0.8).any()
