@@ -336,3 +336,23 @@ def test_places_alike():
                 if (~hit[i:j]).sum() <= 0.2 * (j - i):
                     assert got[i:j].any() and most >= 0
     assert not substring_dedup.alike(np.arange(200) % 2 == 0, 46, 0.8).any()
+
+
+def test_links_found_in_rounds_are_those_found_at_once(spark, make_docs, monkeypatch):
+    """Many slices and many blocks at a time give the rows and the links of one round."""
+    rnd = random.Random(21)
+    lines = [_say(rnd, 70) for _ in range(3)]
+    texts = {i: _say(rnd, 12) + lines[i % 3] + _say(rnd, 9) + (lines[(i + 1) % 3] if i % 4 == 0 else []) for i in range(48)}
+    docs = make_docs([(i, " ".join(w)) for i, w in texts.items()])
+    rounds, got = [], []
+    checked = substring_dedup._checked
+    monkeypatch.setattr(substring_dedup, "_checked", lambda *x: (rounds.append(1) or r for r in checked(*x)))
+    for meetings, sent, side in ((64, 1000, 128), (6, 3, 10)):
+        for name, value in (("MEETINGS", meetings), ("SENT", sent), ("SIDE", side)):
+            monkeypatch.setattr(substring_dedup, name, value)
+        rounds.clear()
+        out, links = substring_dedup.near_duplicate_passages(docs)
+        got.append((sorted(map(tuple, out.collect())), sorted(map(tuple, links.collect()))))
+        assert len(rounds) == 1 if meetings == 64 else len(rounds) >= 4
+    assert got[0] == got[1] and len(got[0][1]) > 500
+    assert substring_dedup.near_duplicate_passages(docs, keep_links=False)[1] is None
